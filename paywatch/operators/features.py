@@ -282,7 +282,7 @@ def amount_tier(borders: Sequence[float] = AMOUNT_BORDERS, amount: str = "amount
 def amount_tiers(df: DataFrame, label: str = "is_fraud", borders: Sequence[float] = AMOUNT_BORDERS) -> DataFrame:
     return df.groupBy(amount_tier(borders).alias("tier")).agg(
         F.count(F.lit(1)).alias("txn_count"),
-        F.sum("amount").alias("amount_sum"),
+        (F.sum(cents(F.col("amount"))) / F.lit(100.0)).alias("amount_sum"),
         F.avg(F.col(label).cast("double")).alias("positive_rate"),
     )
 

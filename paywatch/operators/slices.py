@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 100_000
 HASH_SLICE_SHIFT = 16  # 2**32 hashes in 2**16 slices
-CUT_COLUMNS = ("_class", "_hash", "_id")
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
@@ -91,11 +90,11 @@ def hash_cuts(
 ) -> DataFrame:
     """Where the n-th row of each class lies in (hash, id) order, for several n at once.
 
-    ``keyed`` has the CUT_COLUMNS; ``wanted(rows_of_class, class_name)`` gives the counts, which are
-    clamped to the class size. The result is one row holding a map from class to an array, in the
-    order of ``wanted``, of struct(h, id) or null where the count is 0. Rows are never sorted
-    as a whole: a histogram of 2**16 hash slices finds the slice of each cut, and only that slice
-    is ranked.
+    ``keyed`` has the columns _class, _hash and _id, with few classes. ``wanted(rows_of_class, class)``
+    gives the counts, which are clamped to the class size. The result is one row holding a map from
+    (class, number of the count) to struct(h, id), without an entry where the count is 0. Rows are
+    never sorted as a whole: a histogram of 2**16 hash slices finds the slice of each cut, and only
+    that slice is ranked.
     """
     size = Window.partitionBy("_class")
     upto = size.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -111,24 +110,23 @@ def hash_cuts(
     edges = (
         histogram.select("*", F.posexplode(counts).alias("_cut", "_want"))
         .filter((F.col("_upto") - F.col("_k") < F.col("_want")) & (F.col("_want") <= F.col("_upto")))
-        .select("_class", "_bucket", "_cut", (F.col("_want") - F.col("_upto") + F.col("_k")).alias("_left"))
-    )
-    edge_map = _one_map(edges, F.struct("_bucket", "_cut", "_left")).scalar()
-    at_edge = bucketed.select(
-        "*", F.inline(F.filter(F.try_element_at(edge_map, F.col("_class")),
-                               lambda e: e["_bucket"] == F.col("_bucket"))).alias("_edge", "_cut", "_left")
+        .groupBy("_class", "_bucket")
+        .agg(F.collect_list(F.struct("_cut", (F.col("_want") - F.col("_upto") + F.col("_k")).alias("_left"))).alias("_v"))
     )
+    here = F.try_element_at(_as_map(edges, "_class", "_bucket").scalar(), F.struct("_class", "_bucket"))
+    at_edge = bucketed.select("*", F.inline(here).alias("_cut", "_left"))
     place = Window.partitionBy("_class", "_cut").orderBy("_hash", "_id")
-    cuts = at_edge.withColumn("_rank", F.row_number().over(place)).filter("_rank = _left")
-    return _one_map(cuts, F.struct("_cut", F.struct(F.col("_hash").alias("h"), F.col("_id").alias("id")).alias("at")))
+    cuts = at_edge.withColumn("_rank", F.row_number().over(place)).filter("_rank = _left").withColumn(
+        "_v", F.struct(F.col("_hash").alias("h"), F.col("_id").alias("id"))
+    )
+    return _as_map(cuts, "_class", "_cut")
 
 
-def _one_map(df: DataFrame, entry: Column) -> DataFrame:
-    lists = df.groupBy("_class").agg(F.collect_list(entry).alias("_list"))
-    return lists.agg(F.map_from_entries(F.collect_list(F.struct("_class", "_list"))).alias("_map"))
+def _as_map(df: DataFrame, *keys: str) -> DataFrame:
+    """One row with a map from struct(keys) to ``_v``; as many entries as classes times cuts."""
+    return df.agg(F.map_from_entries(F.collect_list(F.struct(F.struct(*keys), "_v"))).alias("_map"))
 
 
 def cut_at(cuts: Column, cls: Column, number: int) -> Column:
     """struct(h, id) of cut ``number`` of a class, null if nothing is to be kept."""
-    found = F.filter(F.try_element_at(cuts, cls), lambda e: e["_cut"] == number)
-    return F.try_element_at(found, F.lit(1))["at"]
+    return F.try_element_at(cuts, F.struct(cls.alias("_class"), F.lit(number).alias("_cut")))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -30,12 +32,25 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def use_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Point the context at the cluster's shared checkpoint folder.
+def use_checkpoint_dir(spark: SparkSession) -> bool:
+    """Point the context at the shared folder the cluster names; False if there is none.
+
+    A local session, which has no other machine to share with, gets a temporary folder.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="paywatch-checkpoint-")
+        if folder is None:
+            return False
+        context.setCheckpointDir(folder)
+    return True
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store a result several branches read, so its plan runs once and survives lost executors.
 
-    ``fallback`` is only for sessions without ``spark.checkpoint.dir``, such as tests.
+    Without a shared folder the plan is left as it is and runs once per branch.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if folder and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return df.checkpoint() if use_checkpoint_dir(df.sparkSession) else df
