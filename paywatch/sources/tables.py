@@ -18,8 +18,8 @@ def read_txns(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 
 def write_txns(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
     writer = df.write.mode(mode)
-    if fmt == "csv":
-        writer = writer.option("header", True)
+    if fmt == "csv":  # the default format drops microseconds
+        writer = writer.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     writer.format(fmt).save(path)
 
 
