@@ -14,21 +14,17 @@ MASK32 = 0xFFFFFFFF
 def mix32(key: Column, seed: int = 0) -> Column:
     """Deterministic 32-bit hash of a long key, 0 .. 2**32-1, plain long arithmetic.
 
-    Both halves of the key enter, so ids that differ only in their upper bits still spread.
+    Both halves of the key enter, so ids that differ only in their upper bits still spread. The value
+    of each step is used at most twice: filters evaluate the whole expression without sharing parts.
     """
     low = key.bitwiseAND(F.lit(MASK32))
     high = F.shiftrightunsigned(key, 32)
-    x = low.bitwiseXOR(_round(high.bitwiseXOR(F.lit(seed & MASK32))))
-    return _round(x)
-
-
-def _round(x: Column) -> Column:
-    # Public multiply/xor-shift mixer; both factors stay below 2**31 so products fit a long.
-    x = x.bitwiseXOR(F.shiftrightunsigned(x, 16))
-    x = (x * F.lit(0x7FEB352D)).bitwiseAND(F.lit(MASK32))
-    x = x.bitwiseXOR(F.shiftrightunsigned(x, 15))
-    x = (x * F.lit(0x2C1B3C6D)).bitwiseAND(F.lit(MASK32))
-    return x.bitwiseXOR(F.shiftrightunsigned(x, 16))
+    start = low * F.lit(0x3C6EF35F) + high * F.lit(0x1B873593) + F.lit((seed & MASK32) * 0x10DCD)
+    x = F.pmod(start, F.lit(4294967291))
+    x = x.bitwiseXOR(F.shiftrightunsigned(x, 15)) * F.lit(0x2C1B3C6D)
+    x = x.bitwiseAND(F.lit(MASK32))
+    x = x.bitwiseXOR(F.shiftrightunsigned(x, 13)) * F.lit(0x297A2D39)
+    return x.bitwiseAND(F.lit(MASK32))
 
 
 def micros(ts: Column) -> Column:

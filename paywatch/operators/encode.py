@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paywatch.operators.slices import running_totals
+from paywatch.operators.slices import running_totals, small_side
 
 PREFIX = 2
 
@@ -19,10 +19,7 @@ def label_dictionary(df: DataFrame, column: str) -> DataFrame:
 
 
 def encode(df: DataFrame, column: str, dictionary: DataFrame, unknown: int = 0, output: str | None = None) -> DataFrame:
-    """Replace a value by its code; a value outside the dictionary gets ``unknown``.
-
-    No broadcast hint: Spark broadcasts the dictionary while it is small and otherwise shuffles.
-    """
-    codes = dictionary.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    """Replace a value by its code; a value outside the dictionary gets ``unknown``."""
+    codes = small_side(dictionary.select(F.col("value").alias("_value"), F.col("code").alias("_code")))
     joined = df.join(codes, F.col(column) == F.col("_value"), "left")
     return joined.withColumn(output or column, F.coalesce("_code", F.lit(unknown))).drop("_value", "_code")

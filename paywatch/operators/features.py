@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paywatch.functions.columns import cents, flag, micros
-from paywatch.operators.slices import mark_hot
+from paywatch.operators.slices import mark_hot, small_side
 from paywatch.sources.schema import RISK_LIMIT
 
 HOUR = 3600
@@ -19,19 +19,34 @@ SLICES_PER_WINDOW = 60
 def user_profile(df: DataFrame) -> DataFrame:
     """One row per user: average, spread, home location, primary device, activity rate.
 
-    Ties of the most frequent value go to the smallest name. Everything is combined map-side, so a
-    user with very many rows costs one partial row per task.
+    Ties of the most frequent value go to the smallest name; rows without a user belong to no profile.
+    Every part is a partial aggregation over two columns, so a user with very many rows sends one
+    row per task and value.
     """
-    hour_of = F.floor(micros(F.col("timestamp")) / F.lit(HOUR * 1_000_000))
-    counted = df.withColumns({"_hour": hour_of, "_cents": cents(F.col("amount"))}).groupBy("user_id").agg(
+    rows = df.filter(F.col("user_id").isNotNull()).withColumns({
+        "_hour": F.floor(micros(F.col("timestamp")) / F.lit(HOUR * 1_000_000)),
+        "_cents": cents(F.col("amount")),
+    })
+    spread = rows.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("txn_count"),
         (F.sum("_cents") / (F.count("_cents") * F.lit(100.0))).alias("avg_amount"),
         F.stddev_samp("amount").alias("std_amount"),
-        F.mode("location", True).alias("home_location"),
-        F.mode("device_type", True).alias("primary_device"),
-        F.countDistinct("_hour").alias("active_hours"),
     )
-    return counted.withColumn("txn_frequency", F.col("txn_count") / F.col("active_hours"))
+    hours = (
+        rows.filter(F.col("_hour").isNotNull()).select("user_id", "_hour").distinct()
+        .groupBy("user_id").agg(F.count(F.lit(1)).alias("active_hours"))
+    )
+    return (
+        spread.join(hours, "user_id", "left")
+        .join(_most_frequent(rows, "location", "home_location"), "user_id", "left")
+        .join(_most_frequent(rows, "device_type", "primary_device"), "user_id", "left")
+        .withColumn("txn_frequency", F.col("txn_count") / F.col("active_hours"))
+    )
+
+
+def _most_frequent(df: DataFrame, column: str, output: str) -> DataFrame:
+    counts = df.filter(F.col(column).isNotNull()).groupBy("user_id", column).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.groupBy("user_id").agg(F.min_by(column, F.struct(-F.col("_n"), column)).alias(output))
 
 
 def user_features(
@@ -46,7 +61,7 @@ def user_features(
     (first time on this device), ``previous_location`` (home location for a first row),
     ``location_change``, ``time_since_last_txn`` (minutes, 0 for a first row) and ``velocity``
     (rows in the trailing window, this one included). Rows are ordered by (timestamp, id). A row
-    without a user stands alone.
+    without a user or a time stands alone.
 
     One shuffle by (user, slice). Ordinary users are one slice. Users with more than ``hot_rows``
     rows are cut into time slices of ``window_seconds / slices_per_window``; what a slice needs from
@@ -57,27 +72,26 @@ def user_features(
     if rest:
         raise ValueError("the window must divide into slices of whole microseconds")
     span = width * slices_per_window
-    base = mark_hot(
-        df.withColumns({"_us": micros(F.col("timestamp")), "_cents": cents(F.col("amount"))}), "user_id", hot_rows
-    )
-    rows = base.withColumn(
+    us = micros(F.col("timestamp"))
+    keyed = df.withColumns({
+        "_us": us, "_cents": cents(F.col("amount")), "_user": F.when(us.isNotNull(), F.col("user_id"))
+    })
+    rows = mark_hot(keyed, "_user", hot_rows).withColumn(
         "_slice",
-        F.when(F.col("user_id").isNull(), F.col("transaction_id"))
+        F.when(F.col("_user").isNull(), F.col("transaction_id"))
         .when(F.col("_hot"), F.floor(F.col("_us") / F.lit(width)))
         .otherwise(F.lit(0)),
     )
     hot = rows.filter("_hot")
     leaving = hot.select(
-        "user_id",
+        "_user",
         "_hot",
         (F.col("_us") + span).alias("_us"),
         (F.col("_slice") + slices_per_window).alias("_slice"),
         F.lit(0).alias("_own"),
     )
     both = rows.withColumn("_own", F.lit(1)).unionByName(leaving, allowMissingColumns=True)
-    full = _within_slices(both, span).join(
-        _carry(hot, slices_per_window), ["user_id", "_slice"], "left"
-    )
+    full = _within_slices(both, span).join(_carry(hot, slices_per_window), ["_user", "_slice"], "left")
 
     is_hot = F.col("_hot")
     last = F.coalesce(F.col("_last"), F.col("_c_last"))
@@ -109,7 +123,7 @@ def _within_slices(both: DataFrame, span: int) -> DataFrame:
     The window by (user, slice) comes first, so the later ones reuse its shuffle, and the ones in
     time order share its sort.
     """
-    part = Window.partitionBy("user_id", "_slice")
+    part = Window.partitionBy("_user", "_slice")
     order = part.orderBy("_us", "transaction_id")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     # Growing frames are linear in the slice; a sliding frame would recount its rows every time.
@@ -117,7 +131,7 @@ def _within_slices(both: DataFrame, span: int) -> DataFrame:
     until_now = by_time.rangeBetween(Window.unboundedPreceding, 0)
     gone_hot = by_time.rangeBetween(Window.unboundedPreceding, -1)
     gone_cold = by_time.rangeBetween(Window.unboundedPreceding, -span - 1)
-    by_device = Window.partitionBy("user_id", "_slice", "device_type", "_own").orderBy("_us", "transaction_id")
+    by_device = Window.partitionBy("_user", "_slice", "device_type", "_own").orderBy("_us", "transaction_id")
 
     own = F.col("_own") == 1
     zero = F.lit(0)
@@ -151,15 +165,15 @@ def _carry(hot: DataFrame, slices_per_window: int) -> DataFrame:
     over cells and slices. ``_c_live`` holds the full slices inside the trailing window plus the
     whole slice at its far end, whose rows then drop out one by one.
     """
-    cells = hot.groupBy("user_id", "_slice", "device_type", "location").agg(
+    cells = hot.groupBy("_user", "_slice", "device_type", "location").agg(
         F.count(F.lit(1)).alias("_k"),
         F.count("_cents").alias("_ka"),
         F.sum("_cents").alias("_s"),
         F.max(F.struct("_us", "transaction_id")).alias("_at"),
     )
-    user = Window.partitionBy("user_id")
-    by_location = Window.partitionBy("user_id", "location")
-    by_device = Window.partitionBy("user_id", "device_type")
+    user = Window.partitionBy("_user")
+    by_location = Window.partitionBy("_user", "location")
+    by_device = Window.partitionBy("_user", "device_type")
     known = (
         cells.withColumn("_c_avg", F.sum("_s").over(user) / (F.sum("_ka").over(user) * F.lit(100.0)))
         .withColumn("_first", F.min("_slice").over(by_device))
@@ -168,7 +182,7 @@ def _carry(hot: DataFrame, slices_per_window: int) -> DataFrame:
             F.col("_n_location").isNotNull(), F.struct((-F.col("_n_location")).alias("n"), "location")
         )).over(user))
     )
-    per_slice = known.groupBy("user_id", "_slice").agg(
+    per_slice = known.groupBy("_user", "_slice").agg(
         F.sum("_k").alias("_k"),
         F.sum("_ka").alias("_ka"),
         F.sum("_s").alias("_s"),
@@ -182,7 +196,7 @@ def _carry(hot: DataFrame, slices_per_window: int) -> DataFrame:
     gone = ordered.rangeBetween(Window.unboundedPreceding, -slices_per_window - 1)
     zero = F.lit(0)
     return per_slice.select(
-        "user_id",
+        "_user",
         "_slice",
         "_c_new_devices",
         "_c_home",
@@ -226,7 +240,7 @@ def merchant_risk(df: DataFrame, train: DataFrame, weight: float = 20.0, label:
     )
     smoothed = (F.col("_pos") + F.lit(weight) * prior) / (F.col("_n") + F.lit(weight))
     return (
-        df.join(known, df["merchant_id"] == F.col("_m"), "left")
+        df.join(small_side(known), df["merchant_id"] == F.col("_m"), "left")
         .withColumn("merchant_risk_score", F.round(F.coalesce(smoothed, prior), 3))
         .drop("_m", "_n", "_pos")
     )

@@ -24,10 +24,16 @@ def _keyed(df: DataFrame, cls: Column, txn_id: str, seed: int) -> DataFrame:
     )
 
 
-def _kept(cuts: Column, cls: Column, number: int, txn_id: str, seed: int) -> Column:
-    """Whether the row lies at or before the cut of its class."""
+def _kept(cut: Column, txn_id: str, seed: int) -> Column:
+    """Whether the row lies at or before a cut in (hash, id) order."""
     here = F.struct(mix32(F.col(txn_id), seed).alias("h"), F.col(txn_id).alias("id"))
-    return F.coalesce(here <= cut_at(cuts, cls.cast("string"), number), F.lit(False))
+    return F.coalesce(here <= cut, F.lit(False))
+
+
+def _single_cut(df: DataFrame, n: Column, txn_id: str, seed: int) -> Column:
+    """The cut after the first n rows of a whole table."""
+    cuts = hash_cuts(_keyed(df, F.lit("all"), txn_id, seed), lambda rows, cls: [n])
+    return cuts.select(cut_at(F.col("_map"), F.lit("all"), 0).alias("_cut")).scalar()
 
 
 def cap_positives(
@@ -42,10 +48,9 @@ def cap_positives(
     The big table is only filtered, never shuffled: the cut comes from a hash histogram.
     """
     total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    positives = _keyed(df.filter(F.col(label) == 1), F.lit("1"), txn_id, seed)
-    cuts = hash_cuts(positives, lambda n, c: [whole_part(total * percent, 100)]).scalar()
+    cut = _single_cut(df.filter(F.col(label) == 1), whole_part(total * percent, 100), txn_id, seed)
     positive = F.coalesce(F.col(label) == 1, F.lit(False))
-    return df.filter(~positive | _kept(cuts, F.lit("1"), 0, txn_id, seed))
+    return df.filter(~positive | _kept(cut, txn_id, seed))
 
 
 def union_classes(legit: DataFrame, fraud: DataFrame) -> DataFrame:
@@ -54,8 +59,7 @@ def union_classes(legit: DataFrame, fraud: DataFrame) -> DataFrame:
 
 def sample_n(df: DataFrame, n: int, txn_id: str = "transaction_id", seed: int = SEED) -> DataFrame:
     """Exactly n rows without replacement (all rows if there are fewer)."""
-    cuts = hash_cuts(_keyed(df, F.lit("all"), txn_id, seed), lambda rows, c: [F.lit(n)]).scalar()
-    return df.filter(_kept(cuts, F.lit("all"), 0, txn_id, seed))
+    return df.filter(_kept(_single_cut(df, F.lit(n), txn_id, seed), txn_id, seed))
 
 
 def with_row_index(
@@ -115,8 +119,8 @@ def split_exact(
     cuts = hash_cuts(_keyed(df, cls, txn_id, seed), wanted).scalar()
     return df.withColumn(
         "split",
-        F.when(_kept(cuts, cls, 0, txn_id, seed), SPLITS[0])
-        .when(_kept(cuts, cls, 1, txn_id, seed), SPLITS[1])
+        F.when(_kept(cut_at(cuts, cls, 0), txn_id, seed), SPLITS[0])
+        .when(_kept(cut_at(cuts, cls, 1), txn_id, seed), SPLITS[1])
         .otherwise(SPLITS[2]),
     )
 

@@ -13,7 +13,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paywatch.session import cut_lineage
+
 MAX_HOT_KEYS = 100_000
+MAX_BROADCAST_ROWS = 100_000
 HASH_SLICE_SHIFT = 16  # 2**32 hashes in 2**16 slices
 
 
@@ -35,6 +38,15 @@ def mark_hot(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     return joined.withColumn("_hot", F.coalesce("_is_hot", F.lit(False))).drop("_hot_key", "_is_hot")
 
 
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A lookup table for a join: computed once, counted, and broadcast only if it is small.
+
+    A larger one is joined by shuffle, where adaptive execution splits skewed partitions.
+    """
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
+
+
 def running_totals(
     df: DataFrame,
     slice_by: str,

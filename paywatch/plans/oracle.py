@@ -10,17 +10,11 @@ def _round(x: str, n: int) -> str:
 
 def _hash(rel: str, key: str, seed: int = 42) -> str:
     """All columns of a relation and ``h``, a 32-bit mix of a long key."""
-    def mix(src: str, p: str) -> str:
-        return (
-            f"xor({src}, {src} >> 16) AS {p}1, ({p}1 * 2146121005) & 4294967295 AS {p}2, "
-            f"xor({p}2, {p}2 >> 15) AS {p}3, ({p}3 * 739982445) & 4294967295 AS {p}4, xor({p}4, {p}4 >> 16) AS {p}5"
-        )
-
     steps = (
-        f"xor({key} >> 32, CAST({seed} AS BIGINT)) AS a0, {mix('a0', 'a')}, "
-        f"xor({key} & 4294967295, a5) AS b0, {mix('b0', 'b')}, b5 AS h"
+        f"(({key} & 4294967295) * 1013904223 + ({key} >> 32) * 461845907 + CAST({seed} AS BIGINT) * 69069) % 4294967291 AS h1, "
+        "(xor(h1, h1 >> 15) * 739982445) & 4294967295 AS h2, (xor(h2, h2 >> 13) * 695872825) & 4294967295 AS h"
     )
-    return f"SELECT * EXCLUDE (a0, a1, a2, a3, a4, a5, b0, b1, b2, b3, b4, b5) FROM (SELECT *, {steps} FROM {rel})"
+    return f"SELECT * EXCLUDE (h1, h2) FROM (SELECT *, {steps} FROM {rel})"
 
 
 RAW = f"""
@@ -349,6 +343,16 @@ SELECT counts.*, a.alert_count, a.alert_ids FROM counts JOIN (
     q["t10_alert_rate"] = f"WITH {ALERTS} SELECT batch_id, count(*) AS alert_count FROM alerts GROUP BY batch_id"
     q["t10_window"] = f"""WITH {ALERTS} SELECT epoch_us(date_trunc('hour', timestamp)) AS window_start_us, count(*) AS alert_count
   FROM alerts GROUP BY ALL"""
+    q["t6_stream_totals"] = """SELECT count(*) AS total, count(*) FILTER (value > 100) AS detected, count(*) AS actual,
+  count(*) FILTER (value <= 100) AS missed FROM events"""
+    q["t10_stream_window"] = """SELECT * FROM (
+  SELECT epoch_us(date_trunc('hour', ts)) AS window_start_us, count(*) AS alert_count FROM events WHERE value > 100 GROUP BY ALL)
+WHERE window_start_us + 3600000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 - 3600000000 FROM events WHERE value > 100)"""
+    q["t11_stream_features"] = f"""WITH {USER}, numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp, transaction_id) AS n FROM usr)
+SELECT user_id, transaction_id, is_new_device, CASE WHEN n > 1 THEN previous_location END AS previous_location,
+  CASE WHEN n > 1 THEN location_change ELSE 0 END AS location_change, time_since_last_txn, velocity
+FROM numbered WHERE epoch_us(timestamp) < (SELECT max(epoch_us(ts)) // 1000 * 1000 - 3600000000 FROM events)"""
     q["t12_canary_recall"] = f"""WITH {REPLAY},
 flagged AS (
   SELECT hit, 0.5::DOUBLE * (({RISK} + 0.15::DOUBLE * ((source_id % 1000 * 7919) % 1000) / 1000.0::DOUBLE) / 1.15::DOUBLE)

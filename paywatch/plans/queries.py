@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import lru_cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from paywatch.functions.columns import micros
 from paywatch.operators import batches, encode, evaluate, features, project, sampling, serving
 from paywatch.operators.ensemble import ensemble
 from paywatch.operators.models import RiskModels, fit_models, serving_models
-from paywatch.session import apply_settings, cut_lineage
+from paywatch.session import apply_settings, cut_lineage, storage_dir
 from paywatch.sources import fixture, messages, schema
+from paywatch.streaming import jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -555,6 +557,50 @@ def t10_window(spark, sf):
     )
 
 
+# ---- the same on streams: the event table is read as a file stream -------------------------------
+
+
+def _event_stream(spark, sf):
+    """Raw transactions as a stream, timestamps with zone."""
+    path = f"{sf}/events*.parquet"
+    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    return fixture.as_txns(events, fixture.table(spark, sf, "nation")).withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp")
+    )
+
+
+def _run(spark, writer_of, name):
+    """Work a stream off into a new run folder on the shared checkpoint storage and read it back."""
+    paths = jobs.RunPaths(storage_dir(spark), f"{name}-{uuid4().hex}")
+    jobs.start(writer_of(paths.of("out")), paths.checkpoint(name), trigger=None).awaitTermination()
+    return jobs.read_batches(spark, paths.of("out")) if name == "totals" else spark.read.parquet(paths.of("out"))
+
+
+@query
+def t6_stream_totals(spark, sf):
+    predicted = jobs.with_prediction(_event_stream(spark, sf).withColumn("is_fraud", F.lit(1)), None, limit=100.0)
+    rows = _run(spark, lambda out: jobs.totals(predicted).writeStream.outputMode("complete").foreachBatch(
+        jobs.totals_sink(out)), "totals")
+    newest = rows.agg(F.max("batch_id").alias("b")).scalar()
+    return rows.filter(F.col("batch_id") == newest).drop("batch_id")
+
+
+@query
+def t10_stream_window(spark, sf):
+    """Hourly count of rows over the rule amount; a window is out once the watermark passed it."""
+    hits = _event_stream(spark, sf).filter(project.rule_hit(limit=100.0))
+    rows = _run(spark, lambda out: batches.alerts_per_window(hits).writeStream.outputMode("append").format(
+        "parquet").option("path", out), "windows")
+    return rows.select(micros(F.col("window_start")).alias("window_start_us"), "alert_count")
+
+
+@query
+def t11_stream_features(spark, sf):
+    result = stateful.stream_features(_event_stream(spark, sf), "1 hour", fixture.DAY)
+    return _run(spark, lambda out: result.writeStream.outputMode("append").format("parquet").option(
+        "path", out), "features")
+
+
 @query
 def t12_canary_recall(spark, sf):
     injected = project.inject_canaries(_replayed(spark, sf))

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split skewed join partitions even where a later step by the same key then shuffles once more.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
 
@@ -54,3 +56,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Without a shared folder the plan is left as it is and runs once per branch.
     """
     return df.checkpoint() if use_checkpoint_dir(df.sparkSession) else df
+
+
+def storage_dir(spark: SparkSession) -> str:
+    """Folder for what a job stores: the context's checkpoint folder."""
+    if not use_checkpoint_dir(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return spark.sparkContext.getCheckpointDir()

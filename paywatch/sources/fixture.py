@@ -21,9 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events_as_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events + nation as raw transactions, before any derived feature."""
+    return as_txns(table(spark, sf_dir, "events"), table(spark, sf_dir, "nation"))
+
+
+def as_txns(events: DataFrame, nation: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("long")
     away = F.when(F.pmod(k, F.lit(20)) < 17, F.lit(0)).otherwise(k)
-    events = table(spark, sf_dir, "events").select(
+    txns = events.select(
         F.col("event_id").alias("transaction_id"),
         "user_id",
         k.alias("merchant_id"),
@@ -34,10 +38,8 @@ def events_as_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_id") / BATCH_ROWS).alias("batch_id"),
         F.pmod(F.col("user_id") + away, F.lit(LOCATIONS)).alias("_nation"),
     )
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("long").alias("_nation"), F.col("n_name").alias("location")
-    )
-    return events.join(nation, "_nation", "left").drop("_nation")
+    places = nation.select(F.col("n_nationkey").cast("long").alias("_nation"), F.col("n_name").alias("location"))
+    return txns.join(places, "_nation", "left").drop("_nation")
 
 
 def orders_as_txns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -147,6 +147,15 @@ def totals(predicted: DataFrame) -> DataFrame:
     )
 
 
+def totals_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Keep the newest totals, one row, under the number of the micro-batch that produced them."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """The alert or metric table of a run. ``schema`` gives the columns of a store still empty."""
     try:

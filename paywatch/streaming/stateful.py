@@ -8,11 +8,13 @@ inside a bucket); the micro-batch limits of the source bound what one task recei
 
 from __future__ import annotations
 
+import sys
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,6 +22,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from paywatch.functions.columns import micros
 from paywatch.operators.features import HOUR, SLICES_PER_WINDOW
 
+# The processor travels with the query, so workers need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTPUT = (
     "user_id long, transaction_id long, is_new_device int, previous_location string, "
     "location_change int, time_since_last_txn double, velocity long"
@@ -49,17 +54,25 @@ class UserFeatures(StatefulProcessor):
             self.waiting.appendList(list(zip(
                 new["us"].tolist(), new["transaction_id"].tolist(), new["device_type"].tolist(), new["location"].tolist()
             )))
-            # A millisecond past the newest row, when every row here is complete.
-            self.handle.registerTimer(int(new["us"].max()) // 1000 + 1)
+            self._wake_after(int(new["us"].min()))
         return iter([])
 
+    def _wake_after(self, us: int) -> None:
+        """Come back once the watermark has passed a row."""
+        self.handle.registerTimer(us // 1000 + 1)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
+        rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[:2]) if self.waiting.exists() else []
         ready = [r for r in rows if r[0] < upto]
         if not ready:
             return
-        self.waiting.put(rows[len(ready):]) if len(rows) > len(ready) else self.waiting.clear()
+        later = rows[len(ready):]
+        if later:
+            self.waiting.put(later)
+            self._wake_after(later[0][0])
+        else:
+            self.waiting.clear()
         yield self._features(key[0], ready)
 
     def _features(self, user: int, rows: list[tuple]) -> pd.DataFrame:
@@ -132,8 +145,9 @@ def stream_features(txns: DataFrame, delay: str = "10 minutes", window_seconds:
     """Streaming form of the user features that look back; needs a timestamp with time zone.
 
     A first row has no previous location here: the home location is only known from the whole table.
+    Rows without a time have no place in the order and are left out.
     """
-    rows = txns.select(*INPUT).withWatermark("timestamp", delay).withColumn("us", micros(F.col("timestamp")))
+    rows = txns.select(*INPUT).filter(F.col("timestamp").isNotNull()).withWatermark("timestamp", delay).withColumn("us", micros(F.col("timestamp")))
     return rows.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=UserFeatures(window_seconds),
         outputStructType=OUTPUT,

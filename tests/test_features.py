@@ -66,10 +66,13 @@ def test_slices_are_used_for_hot_users(txns):
     assert [r.user_id for r in hot_keys(txns(rows), "user_id", 100).collect()] == [0]
 
 
-def test_row_without_user_stands_alone(txns):
-    rows = [(1, None, 0, 5.0, "a", "x"), (2, None, 1, 7.0, "a", "y"), (3, 4, 2, 1.0, "a", "x")]
-    got = {r["transaction_id"]: r for r in as_dicts(features.user_features(txns(rows)))}
-    assert len(got) == 3
+@pytest.mark.parametrize("hot_rows", [0, 100])
+def test_row_without_user_or_time_stands_alone(txns, hot_rows):
+    rows = [(1, None, 0, 5.0, "a", "x"), (2, None, 1, 7.0, "a", "y"), (3, 4, 2, 1.0, "a", "x"),
+            (4, 4, None, 9.0, "a", "z"), (5, 4, 3, 3.0, "a", "x")]
+    got = {r["transaction_id"]: r for r in as_dicts(features.user_features(txns(rows), hot_rows=hot_rows))}
+    assert len(got) == 5 and got[4]["user_id"] == 4 and got[4]["user_avg"] == 9.0 and got[4]["velocity"] == 1
+    assert got[5]["user_avg"] == 2.0 and got[5]["velocity"] == 2 and got[5]["previous_location"] == "x"
     assert got[2]["velocity"] == 1 and got[2]["user_avg"] == 7.0 and got[2]["time_since_last_txn"] == 0.0
 
 

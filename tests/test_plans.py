@@ -28,7 +28,7 @@ def test_wide_rows_shuffle_once_for_user_features(spark):
     text = plan(features.user_features(fixture.events_as_txns(spark, SMALL)))
     above_union = text.split("Union")[0]
     assert len(re.findall(r"Exchange ", above_union)) == 1
-    assert re.search(r"Exchange hashpartitioning\(user_id#\d+L, _slice#\d+L", above_union)
+    assert re.search(r"Exchange hashpartitioning\(_user#\d+L, _slice#\d+L", above_union)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 

@@ -14,13 +14,10 @@ def labelled(spark, n, positives, first=0):
 
 
 def python_mix(key, seed=0):
-    def once(x):
-        x ^= x >> 16
-        x = x * 0x7FEB352D & 0xFFFFFFFF
-        x ^= x >> 15
-        x = x * 0x2C1B3C6D & 0xFFFFFFFF
-        return x ^ x >> 16
-    return once((key & 0xFFFFFFFF) ^ once((key >> 32) ^ seed))
+    mask = 0xFFFFFFFF
+    x = ((key & mask) * 0x3C6EF35F + (key >> 32) * 0x1B873593 + (seed & mask) * 0x10DCD) % 4294967291
+    x = (x ^ x >> 15) * 0x2C1B3C6D & mask
+    return (x ^ x >> 13) * 0x297A2D39 & mask
 
 
 def test_hash_is_stable_and_spreads(spark):
