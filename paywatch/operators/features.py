@@ -108,7 +108,9 @@ def user_features(
         "time_since_last_txn": F.when(first_row, F.lit(0.0)).otherwise(
             F.round((F.col("_us") - last["_us"]) / F.lit(60_000_000.0), 2)
         ),
-        "velocity": F.col("_upto") - F.col("_gone") + F.coalesce("_c_live", F.lit(0)),
+        "velocity": F.when(F.col("_user").isNull(), F.lit(1)).otherwise(
+            F.col("_upto") - F.col("_gone") + F.coalesce("_c_live", F.lit(0))
+        ),
     }
     added = {*features, "location_change"}
     return (
