@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paywatch.functions.columns import cents, flag, micros
-from paywatch.operators.slices import mark_hot, small_side
+from paywatch.operators.slices import find_hot, mark_hot, small_side
 from paywatch.sources.schema import RISK_LIMIT
 
 HOUR = 3600
@@ -64,7 +64,7 @@ def user_features(
     without a user or a time stands alone.
 
     One shuffle by (user, slice). Ordinary users are one slice. Users with more than ``hot_rows``
-    rows are cut into time slices of ``window_seconds / slices_per_window``; what a slice needs from
+    rows, looked up when the plan is built, are cut into time slices of ``window_seconds / slices_per_window``; what a slice needs from
     earlier ones arrives as one carry row, and for the trailing window each row is also sent, shifted
     by the window, to the slice where it drops out.
     """
@@ -76,22 +76,8 @@ def user_features(
     keyed = df.withColumns({
         "_us": us, "_cents": cents(F.col("amount")), "_user": F.when(us.isNotNull(), F.col("user_id"))
     })
-    rows = mark_hot(keyed, "_user", hot_rows).withColumn(
-        "_slice",
-        F.when(F.col("_user").isNull(), F.col("transaction_id"))
-        .when(F.col("_hot"), F.floor(F.col("_us") / F.lit(width)))
-        .otherwise(F.lit(0)),
-    )
-    hot = rows.filter("_hot")
-    leaving = hot.select(
-        "_user",
-        "_hot",
-        (F.col("_us") + span).alias("_us"),
-        (F.col("_slice") + slices_per_window).alias("_slice"),
-        F.lit(0).alias("_own"),
-    )
-    both = rows.withColumn("_own", F.lit(1)).unionByName(leaving, allowMissingColumns=True)
-    full = _within_slices(both, span).join(_carry(hot, slices_per_window), ["_user", "_slice"], "left")
+    hot = find_hot(keyed, "_user", hot_rows)
+    full = _unsliced(keyed, span) if hot is None else _sliced(keyed, hot, width, span, slices_per_window)
 
     is_hot = F.col("_hot")
     last = F.coalesce(F.col("_last"), F.col("_c_last"))
@@ -119,6 +105,46 @@ def user_features(
     )
 
 
+# What the carry rows hold; all of it missing where no user is hot.
+CARRY = {
+    "_c_new_devices": "array<string>",
+    "_c_home": "string",
+    "_c_avg": "double",
+    "_c_last": "struct<location: string, _us: bigint>",
+    "_c_n": "bigint",
+    "_c_sum": "bigint",
+    "_c_live": "bigint",
+}
+
+
+def _unsliced(keyed: DataFrame, span: int) -> DataFrame:
+    rows = keyed.withColumns({
+        "_hot": F.lit(False),
+        "_own": F.lit(1),
+        "_slice": F.when(F.col("_user").isNull(), F.col("transaction_id")).otherwise(F.lit(0)),
+    })
+    return _within_slices(rows, span).withColumns({c: F.lit(None).cast(t) for c, t in CARRY.items()})
+
+
+def _sliced(keyed: DataFrame, hot_users: DataFrame, width: int, span: int, slices_per_window: int) -> DataFrame:
+    rows = mark_hot(keyed, "_user", hot_users).withColumn(
+        "_slice",
+        F.when(F.col("_user").isNull(), F.col("transaction_id"))
+        .when(F.col("_hot"), F.floor(F.col("_us") / F.lit(width)))
+        .otherwise(F.lit(0)),
+    )
+    hot = rows.filter("_hot")
+    leaving = hot.select(
+        "_user",
+        "_hot",
+        (F.col("_us") + span).alias("_us"),
+        (F.col("_slice") + slices_per_window).alias("_slice"),
+        F.lit(0).alias("_own"),
+    )
+    both = rows.withColumn("_own", F.lit(1)).unionByName(leaving, allowMissingColumns=True)
+    return _within_slices(both, span).join(_carry(hot, slices_per_window), ["_user", "_slice"], "left")
+
+
 def _within_slices(both: DataFrame, span: int) -> DataFrame:
     """What a row can learn from its own (user, slice).
 

@@ -31,10 +31,16 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     return counts.filter((F.col("_n") > hot_rows) & (F.col("_n") * MAX_HOT_KEYS > total)).select(key)
 
 
-def mark_hot(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Add ``_hot``: whether the row's key is one of the hot keys."""
-    hot = hot_keys(df, key, hot_rows).select(F.col(key).alias("_hot_key"), F.lit(True).alias("_is_hot"))
-    joined = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+def find_hot(df: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
+    """The hot keys, computed now and stored, or None if there are none and no plan need split them."""
+    found = cut_lineage(hot_keys(df, key, hot_rows))
+    return None if found.isEmpty() else found
+
+
+def mark_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Add ``_hot``: whether the row's key is one of the hot keys (fewer than MAX_HOT_KEYS)."""
+    keys = hot.select(F.col(key).alias("_hot_key"), F.lit(True).alias("_is_hot"))
+    joined = df.join(F.broadcast(keys), F.col(key) == F.col("_hot_key"), "left")
     return joined.withColumn("_hot", F.coalesce("_is_hot", F.lit(False))).drop("_hot_key", "_is_hot")
 
 

@@ -24,18 +24,20 @@ def test_operators_stay_on_the_executors():
 
 
 def test_wide_rows_shuffle_once_for_user_features(spark):
-    """All windows and the join with the carry rows reuse one exchange by (user, slice)."""
-    text = plan(features.user_features(fixture.events_as_txns(spark, SMALL)))
-    above_union = text.split("Union")[0]
-    assert len(re.findall(r"Exchange ", above_union)) == 1
-    assert re.search(r"Exchange hashpartitioning\(_user#\d+L, _slice#\d+L", above_union)
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    """All windows, and with hot users the join with the carry rows, reuse one exchange by (user, slice)."""
+    txns = fixture.events_as_txns(spark, SMALL)
+    plain = plan(features.user_features(txns))
+    sliced = plan(features.user_features(txns, hot_rows=50))
+    for text in (plain, sliced.split("Union")[0]):
+        assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
+        assert re.search(r"Exchange hashpartitioning\(_user#\d+L, _slice#\d+L", text)
+    assert "Union" in sliced and "Union" not in plain and "SortMergeJoin" not in plain
+    assert "CartesianProduct" not in sliced and "BroadcastNestedLoopJoin" not in sliced
 
 
 def test_unused_features_are_pruned(spark):
     text = plan(features.user_features(fixture.events_as_txns(spark, SMALL)).select("transaction_id", "user_avg"))
-    main = text.split("Union")[0]
-    assert "row_number()" not in main and "mode(" not in main
+    assert "row_number()" not in text and "mode(" not in text and "last(" not in text
 
 
 def test_scan_reads_only_needed_columns(spark):
