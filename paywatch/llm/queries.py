@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.llm import decontaminate, secret_scan, simhash
-from paywatch.llm.common import read_documents
+from paywatch.llm import decontaminate, packing, quality, secret_scan, simhash
+from paywatch.llm.common import read_documents, training_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -28,11 +29,29 @@ def register(sql: str | None = None) -> Callable[[Query], Query]:
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@register()
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    scored = quality.scores(docs, quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return scored.select(
+        "doc_id",
+        (training_bucket(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.KEEP_FROM).cast("int").alias("predicted"),
+    )
+
+
 @register()
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, sf_dir))
 
 
+@register()
+def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 SHINGLES = (
     "select distinct {key}, unnest(case when len(w) >= 5 then [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)]"
