@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from paywatch.session import storage_dir
 
+# Rows of a few longs: about 64 MB.
+BROADCAST_ROWS = 1_000_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -43,6 +45,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """A table of a few numbers a row, broadcast up to BROADCAST_ROWS; beyond, its join shuffles."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """A string column's values as bytes."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paywatch.llm.common import ascii_lower, stage
+from paywatch.llm.common import ascii_lower, sized, stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# A broadcast row is two longs, so a broadcast side stays below about 64 MB; beyond, the join shuffles.
-BROADCAST_ROWS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -32,10 +30,6 @@ def shingle_rows(df: DataFrame, key: str, n: int = SHINGLE) -> DataFrame:
     return split.select(key, F.explode(F.array_distinct(hashes)).alias("h"))
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def item_shingles(items: DataFrame, n: int = SHINGLE) -> DataFrame:
     """(item_id, h): every distinct shingle of every item."""
     return shingle_rows(items, "item_id", n).distinct()
@@ -71,11 +65,11 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = SHINGLE, threshold: float
     rows = stage(item_shingles(items.select(F.col("item_id").cast("long").alias("item_id"), "text"), n), "items")
     sketch = stage(sketches(rows, threshold), "sketches")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = shingle_rows(texts, "doc_id", n).join(_sized(sketch.select("h", "item_id")), "h").select("doc_id", "item_id").distinct()
+    found = shingle_rows(texts, "doc_id", n).join(sized(sketch.select("h", "item_id")), "h").select("doc_id", "item_id").distinct()
     candidates = stage(found, "candidates")
     marked = candidates.select(F.col("doc_id").alias("marked_id")).distinct()
-    held = texts.join(_sized(marked), F.col("doc_id").eqNullSafe(F.col("marked_id")), "left_semi")
-    shared = shingle_rows(held, "doc_id", n).join(_sized(rows), "h")
+    held = texts.join(sized(marked), F.col("doc_id").eqNullSafe(F.col("marked_id")), "left_semi")
+    shared = shingle_rows(held, "doc_id", n).join(sized(rows), "h")
     counts = shared.groupBy("doc_id", "item_id").agg(F.size(F.collect_set("h")).cast("long").alias("n_shared"))
     sizes = sketch.select(F.col("item_id").alias("of_item"), "n_item", "needed").distinct()
     exact = counts.join(sizes, F.col("item_id").eqNullSafe(F.col("of_item"))).where(F.col("n_shared") >= F.col("needed"))

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.llm import decontaminate, packing, quality, secret_scan, simhash
-from paywatch.llm.common import read_documents, training_bucket
+from paywatch.llm import decontaminate, license_scan, packing, phrases, quality, secret_scan, simhash, token_codes
+from paywatch.llm.common import read_documents, stage_path, training_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -29,6 +29,20 @@ def register(sql: str | None = None) -> Callable[[Query], Query]:
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@register()
+def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "codes")
+    token_codes.write(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_codes.documents(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register()
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.licenses(read_documents(spark, sf_dir))
+    joined = (F.array_join(c, ",").alias(c) for c in ("base_labels", "labels"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
 @register()
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
@@ -46,6 +60,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, sf_dir))
 
 
+@register()
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.fingerprints(read_documents(spark, sf_dir))
+
+
 @register()
 def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
