@@ -155,9 +155,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     steps = [i / slices for i in range(1, slices)]
     cuts = rows.agg(F.percentile_approx("doc_id", steps, 20 * slices + 10_000)).first()[0] if steps else []
     inner = sorted({float(c) for c in cuts or []})
-    bucketed = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="place", outputCol="bucket", handleInvalid="keep")
-    placed = bucketed.transform(rows.withColumn("place", F.col("doc_id").cast("double")))
-    placed = placed.select("doc_id", "text", F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("bucket").cast("int")).alias("slice"))
+    bucket = F.lit(0)
+    if inner:
+        bucketed = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="place", outputCol="bucket", handleInvalid="keep")
+        rows, bucket = bucketed.transform(rows.withColumn("place", F.col("doc_id").cast("double"))), F.col("bucket").cast("int")
+    placed = rows.select("doc_id", "text", F.when(F.col("doc_id").isNull(), -1).otherwise(bucket).alias("slice"))
     heads = placed.groupBy("slice").agg(F.max("doc_id").alias("head")).orderBy(F.desc("slice")).collect()  # at most MAX_SLICES rows
     if not heads:
         return docs.sparkSession.createDataFrame([], SCHEMA)
