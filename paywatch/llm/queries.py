@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.llm import decontaminate, license_scan, packing, phrases, quality, repeats, secret_scan, simhash, token_codes
+from paywatch.llm import decontaminate, license_scan, lm_score, packing, phrases, quality, repeats, secret_scan, simhash, token_codes
 from paywatch.llm.common import read_documents, stage_path, training_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,11 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_passages(read_documents(spark, sf_dir))
 
 
+@register()
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(read_documents(spark, sf_dir))
+
+
 def _secret_spans(kind: str, pattern: str, least: int = 0, group: int = 0) -> str:
     """One row per match: its start is the length of all matches and gaps before it."""
     return f"""select doc_id, '{kind}' as kind, len(unnest(g[1 : len(m)])) as gap, len(unnest(m)) as n, len(unnest(v)) as nv, unnest(range(len(m))) as i,
