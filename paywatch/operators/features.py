@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paywatch.functions.columns import cents, flag, micros
-from paywatch.operators.slices import find_hot, mark_hot, small_side
+from paywatch.operators.slices import hot_keys, mark_hot, small_side
+from paywatch.session import cut_lineage
 from paywatch.sources.schema import RISK_LIMIT
 
 HOUR = 3600
-HOT_ROWS = 1_000_000
 SLICES_PER_WINDOW = 60
 
 
@@ -20,53 +20,49 @@ def user_profile(df: DataFrame) -> DataFrame:
     """One row per user: average, spread, home location, primary device, activity rate.
 
     Ties of the most frequent value go to the smallest name; rows without a user belong to no profile.
-    Every part is a partial aggregation over two columns, so a user with very many rows sends one
-    row per task and value.
+    One scan and one partial aggregation: a user with very many rows sends one row per task, which
+    holds the user's places, devices and active hours.
     """
     rows = df.filter(F.col("user_id").isNotNull()).withColumns({
         "_hour": F.floor(micros(F.col("timestamp")) / F.lit(HOUR * 1_000_000)),
         "_cents": cents(F.col("amount")),
     })
-    spread = rows.groupBy("user_id").agg(
+    hours = F.size(F.collect_set("_hour")).cast("long")
+    return rows.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("txn_count"),
         (F.sum("_cents") / (F.count("_cents") * F.lit(100.0))).alias("avg_amount"),
         F.stddev_samp("amount").alias("std_amount"),
-    )
-    hours = (
-        rows.filter(F.col("_hour").isNotNull()).select("user_id", "_hour").distinct()
-        .groupBy("user_id").agg(F.count(F.lit(1)).alias("active_hours"))
-    )
-    return (
-        spread.join(hours, "user_id", "left")
-        .join(_most_frequent(rows, "location", "home_location"), "user_id", "left")
-        .join(_most_frequent(rows, "device_type", "primary_device"), "user_id", "left")
-        .withColumn("txn_frequency", F.col("txn_count") / F.col("active_hours"))
+        F.when(hours > 0, hours).alias("active_hours"),
+        F.mode("location", True).alias("home_location"),
+        F.mode("device_type", True).alias("primary_device"),
+        F.when(hours > 0, F.count(F.lit(1)) / hours).alias("txn_frequency"),
     )
 
 
-def _most_frequent(df: DataFrame, column: str, output: str) -> DataFrame:
-    counts = df.filter(F.col(column).isNotNull()).groupBy("user_id", column).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.groupBy("user_id").agg(F.min_by(column, F.struct(-F.col("_n"), column)).alias(output))
+def hot_users(df: DataFrame, hot_rows: int) -> DataFrame:
+    """Users with more than ``hot_rows`` rows, computed now and stored: to be looked up once per load."""
+    return cut_lineage(hot_keys(df, "user_id", hot_rows))
 
 
 def user_features(
     df: DataFrame,
     window_seconds: int = HOUR,
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
     slices_per_window: int = SLICES_PER_WINDOW,
 ) -> DataFrame:
     """Add everything that depends on the user's other transactions.
 
     Adds ``user_avg`` (whole history, unrounded), ``prior_avg`` (earlier rows only), ``is_new_device``
-    (first time on this device), ``previous_location`` (home location for a first row),
+    (first time on this device), ``previous_location`` (home location where the last row has none),
     ``location_change``, ``time_since_last_txn`` (minutes, 0 for a first row) and ``velocity``
     (rows in the trailing window, this one included). Rows are ordered by (timestamp, id). A row
     without a user or a time stands alone.
 
-    One shuffle by (user, slice). Ordinary users are one slice. Users with more than ``hot_rows``
-    rows, looked up when the plan is built, are cut into time slices of ``window_seconds / slices_per_window``; what a slice needs from
-    earlier ones arrives as one carry row, and for the trailing window each row is also sent, shifted
-    by the window, to the slice where it drops out.
+    One shuffle by (user, slice). Ordinary users are one slice. The users in ``hot`` (see
+    ``hot_users``) are cut into time slices of ``window_seconds / slices_per_window``; what a slice
+    needs from earlier ones arrives as one carry row, and for the trailing window each row is also
+    sent, shifted by the window, to the slice where it drops out. Which users are named changes where
+    rows are worked on and never the result; building the plan starts no job.
     """
     width, rest = divmod(window_seconds * 1_000_000, slices_per_window)
     if rest:
@@ -76,21 +72,22 @@ def user_features(
     keyed = df.withColumns({
         "_us": us, "_cents": cents(F.col("amount")), "_user": F.when(us.isNotNull(), F.col("user_id"))
     })
-    hot = find_hot(keyed, "_user", hot_rows)
-    full = _unsliced(keyed, span) if hot is None else _sliced(keyed, hot, width, span, slices_per_window)
+    if hot is None:
+        full = _unsliced(keyed, span)
+    else:
+        full = _sliced(keyed, hot.select(F.col("user_id").alias("_user")), width, span, slices_per_window)
 
     is_hot = F.col("_hot")
     last = F.coalesce(F.col("_last"), F.col("_c_last"))
     first_row = last.isNull()
     prior_rows = F.col("_n_before") + F.coalesce("_c_n", F.lit(0))
     prior_cents = F.col("_sum_before") + F.coalesce("_c_sum", F.lit(0))
-    new_device = (F.col("_device_row") == 1) & (~is_hot | F.array_contains("_c_new_devices", _device()))
+    new_device = (F.col("_device_row") == 1) & (~is_hot | F.array_contains("_c_new_devices", F.struct("device_type")))
     features = {
         "user_avg": F.when(is_hot, F.col("_c_avg")).otherwise(F.col("_avg")),
         "prior_avg": F.when(prior_rows > 0, prior_cents / (prior_rows * F.lit(100.0))),
         "is_new_device": flag(new_device),
-        "previous_location": F.when(first_row, F.when(is_hot, F.col("_c_home")).otherwise(F.col("_home")))
-        .otherwise(last["location"]),
+        "previous_location": F.coalesce(last["location"], F.when(is_hot, F.col("_c_home")).otherwise(F.col("_home"))),
         "time_since_last_txn": F.when(first_row, F.lit(0.0)).otherwise(
             F.round((F.col("_us") - last["_us"]) / F.lit(60_000_000.0), 2)
         ),
@@ -107,7 +104,7 @@ def user_features(
 
 # What the carry rows hold; all of it missing where no user is hot.
 CARRY = {
-    "_c_new_devices": "array<string>",
+    "_c_new_devices": "array<struct<device_type: string>>",
     "_c_home": "string",
     "_c_avg": "double",
     "_c_last": "struct<location: string, _us: bigint>",
@@ -215,7 +212,7 @@ def _carry(hot: DataFrame, slices_per_window: int) -> DataFrame:
         F.sum("_ka").alias("_ka"),
         F.sum("_s").alias("_s"),
         F.max_by(F.struct("location", F.col("_at._us").alias("_us")), "_at").alias("_end"),
-        F.collect_set(F.when(F.col("_first") == F.col("_slice"), _device())).alias("_c_new_devices"),
+        F.collect_set(F.when(F.col("_first") == F.col("_slice"), F.struct("device_type"))).alias("_c_new_devices"),
         F.first("_c_home").alias("_c_home"),
         F.first("_c_avg").alias("_c_avg"),
     )
@@ -236,11 +233,6 @@ def _carry(hot: DataFrame, slices_per_window: int) -> DataFrame:
     )
 
 
-def _device() -> Column:
-    """Device name that can be held in a set: a missing device is a value of its own."""
-    return F.coalesce("device_type", F.lit(""))
-
-
 def amount_deviation() -> Column:
     return F.abs(F.col("amount") - F.col("user_avg"))
 
@@ -332,12 +324,12 @@ def amount_tiers(df: DataFrame, label: str = "is_fraud", borders: Sequence[float
 def transaction_features(
     df: DataFrame,
     window_seconds: int = HOUR,
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
     noise: Column | None = None,
 ) -> DataFrame:
     """All derived columns of the transaction record, plus ``risk_score`` and the rule label."""
     return (
-        user_features(df, window_seconds, hot_rows)
+        user_features(df, window_seconds, hot)
         .withColumns({
             "high_amount_flag": high_amount(),
             "amount_deviation": F.round(amount_deviation(), 2),

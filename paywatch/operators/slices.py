@@ -31,12 +31,6 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     return counts.filter((F.col("_n") > hot_rows) & (F.col("_n") * MAX_HOT_KEYS > total)).select(key)
 
 
-def find_hot(df: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
-    """The hot keys, computed now and stored, or None if there are none and no plan need split them."""
-    found = cut_lineage(hot_keys(df, key, hot_rows))
-    return None if found.isEmpty() else found
-
-
 def mark_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Add ``_hot``: whether the row's key is one of the hot keys (fewer than MAX_HOT_KEYS)."""
     keys = hot.select(F.col(key).alias("_hot_key"), F.lit(True).alias("_is_hot"))
@@ -99,6 +93,15 @@ def value_slices(df: DataFrame, column: str, slices: int, output: str = "_slice"
     return cut.transform(df)
 
 
+def range_slices(df: DataFrame, column: str, rows_per_slice: int, output: str = "_slice") -> DataFrame:
+    """Add the number of the range a value of any orderable type falls into, of about equally many rows each.
+
+    Rows are dealt by sampled ranges and stored, so the numbers, which grow with the values, are fixed.
+    """
+    ranges = df.count() // rows_per_slice + 1
+    return cut_lineage(df.repartitionByRange(ranges, column).withColumn(output, F.spark_partition_id()))
+
+
 def hash_slice(h: Column) -> Column:
     return F.shiftrightunsigned(h, HASH_SLICE_SHIFT)
 

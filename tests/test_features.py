@@ -51,7 +51,8 @@ def test_user_features_match_brute_force(txns, hot_rows, window):
     """A user with most of the rows, many equal times; sliced and unsliced must agree with the loop."""
     rows = random_rows(400, hot_rows + window, 12, 0.6)
     expected = brute(rows, window / 60)
-    got = as_dicts(features.user_features(txns(rows), window, hot_rows))
+    table = txns(rows)
+    got = as_dicts(features.user_features(table, window, features.hot_users(table, hot_rows)))
     assert len(got) == len(rows)
     for r in got:
         want = expected[r["transaction_id"]]
@@ -70,7 +71,8 @@ def test_slices_are_used_for_hot_users(txns):
 def test_row_without_user_or_time_stands_alone(txns, hot_rows):
     rows = [(1, None, 0, 5.0, "a", "x"), (2, None, 1, 7.0, "a", "y"), (3, 4, 2, 1.0, "a", "x"),
             (4, 4, None, 9.0, "a", "z"), (5, 4, 3, 3.0, "a", "x")]
-    got = {r["transaction_id"]: r for r in as_dicts(features.user_features(txns(rows), hot_rows=hot_rows))}
+    table = txns(rows)
+    got = {r["transaction_id"]: r for r in as_dicts(features.user_features(table, hot=features.hot_users(table, hot_rows)))}
     assert len(got) == 5 and got[4]["user_id"] == 4 and got[4]["user_avg"] == 9.0 and got[4]["velocity"] == 1
     assert got[5]["user_avg"] == 2.0 and got[5]["velocity"] == 2 and got[5]["previous_location"] == "x"
     assert got[2]["velocity"] == 1 and got[2]["user_avg"] == 7.0 and got[2]["time_since_last_txn"] == 0.0
@@ -79,12 +81,32 @@ def test_row_without_user_or_time_stands_alone(txns, hot_rows):
 def test_missing_values_keep_their_rows(txns):
     rows = [(1, 1, 0, None, None, None), (2, 1, 1, 4.0, None, "x"), (3, 1, 2, 6.0, "a", None)]
     for hot in (0, 100):
-        got = {r["transaction_id"]: r for r in as_dicts(features.user_features(txns(rows), hot_rows=hot))}
+        table = txns(rows)
+        got = {r["transaction_id"]: r for r in as_dicts(features.user_features(table, hot=features.hot_users(table, hot)))}
         assert len(got) == 3
         assert got[3]["user_avg"] == 5.0 and got[3]["prior_avg"] == 4.0 and got[2]["prior_avg"] is None
         assert [got[i]["is_new_device"] for i in (1, 2, 3)] == [1, 0, 1]
         assert [got[i]["velocity"] for i in (1, 2, 3)] == [1, 2, 3]
-        assert got[3]["previous_location"] == "x" and got[2]["previous_location"] is None
+        assert got[3]["previous_location"] == "x" and got[2]["previous_location"] == "x"  # home, where the last row has none
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_slicing_changes_no_row(txns, seed):
+    """Random rows with null and empty devices and places, and null users and times."""
+    rnd = random.Random(seed)
+    pick = lambda *xs: rnd.choice(xs)
+    rows = [(i, pick(1, 1, 2, None), pick(None, *range(600)), pick(None, 3.0, 5.5), pick(None, "", "x"), pick(None, "", "n")) for i in range(150)]
+    table = txns(rows)
+    plain = {r["transaction_id"]: r for r in as_dicts(features.user_features(table))}
+    sliced = {r["transaction_id"]: r for r in as_dicts(features.user_features(table, hot=features.hot_users(table, 0)))}
+    assert sliced == plain and len(plain) == 150
+
+
+def test_device_is_new_once_in_slices(txns):
+    table = txns([(1, 1, 0, 1.0, None, "x"), (2, 1, 60, 1.0, "x", "x"), (3, 1, 120, 1.0, "", "x"), (4, 1, 180, 1.0, None, "x")])
+    for hot in (None, features.hot_users(table, 0)):
+        got = {r["transaction_id"]: r["is_new_device"] for r in as_dicts(features.user_features(table, hot=hot))}
+        assert got == {1: 1, 2: 1, 3: 1, 4: 0}
 
 
 def test_empty_table(txns):

@@ -27,7 +27,7 @@ def test_wide_rows_shuffle_once_for_user_features(spark):
     """All windows, and with hot users the join with the carry rows, reuse one exchange by (user, slice)."""
     txns = fixture.events_as_txns(spark, SMALL)
     plain = plan(features.user_features(txns))
-    sliced = plan(features.user_features(txns, hot_rows=50))
+    sliced = plan(features.user_features(txns, hot=features.hot_users(txns, 50)))
     for text in (plain, sliced.split("Union")[0]):
         assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
         assert re.search(r"Exchange hashpartitioning\(_user#\d+L, _slice#\d+L", text)
