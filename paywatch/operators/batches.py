@@ -76,9 +76,13 @@ def running_batch_totals(counts: DataFrame) -> DataFrame:
 
 
 def latest_alerts(txns: DataFrame, n: int = ALERT_LIST_ROWS, k: int = BATCH_ALERTS) -> DataFrame:
-    """The newest n entries of the alert list: batches newest first, k per batch."""
+    """The newest n entries of the alert list: batches newest first, k per batch.
+
+    Every batch has at least one row, so the newest n batches hold them: only these are ranked.
+    """
+    newest = txns.select("batch_id").distinct().orderBy(F.desc_nulls_last("batch_id")).limit(n).agg(F.min("batch_id").alias("b")).scalar()
     return (
-        top_by_amount(txns, k)
+        top_by_amount(txns.filter(F.col("batch_id") >= newest), k)
         .orderBy(F.desc("batch_id"), "alert_rank").limit(n)
     )
 

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from paywatch.functions.columns import mix32
 from paywatch.sources.schema import HISTORY_BATCHES, SYSTEM_COLUMNS, TOP_LOCATIONS
 
-CHUNK_ROWS = 1_000
+# The status words of the summary.
+NO_ALERTS, SOME_ALERTS = "empty", "success"
 
 
 def latest_alert(alerts: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def latest_summary(alerts: DataFrame) -> DataFrame:
     """One row about the newest batch; status "empty" when there is no alert at all."""
     n = F.count(F.lit(1))
     return latest_batch(alerts).agg(
-        F.when(n == 0, "empty").otherwise("success").alias("status"),
+        F.when(n == 0, NO_ALERTS).otherwise(SOME_ALERTS).alias("status"),
         F.coalesce(F.max("batch_id"), F.lit(0)).alias("batch_id"),
         n.alias("fraud_count"),
         F.coalesce(F.max("total_batch_txns"), F.lit(0)).alias("total_txns"),
@@ -56,20 +57,18 @@ def last_batch_rows(alerts: DataFrame, n: int = HISTORY_BATCHES) -> DataFrame:
     return alerts.filter(F.col("batch_id") >= oldest)
 
 
-def last_batches_nested(alerts: DataFrame, n: int = HISTORY_BATCHES, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """The newest n batches with their alerts as arrays.
+def last_batches_nested(alerts: DataFrame, n: int = HISTORY_BATCHES, chunks: int = 1) -> DataFrame:
+    """The newest n batches with their alerts as arrays, one row per batch as in a document store.
 
-    A batch of up to ``chunk_rows`` alerts is one row, as in a document store. A larger one is spread
-    by id hash over several rows (``chunk``) of about that many, so no array grows with the batch.
+    Where batches are too large for one array, use ``last_batch_rows``, or ask for several ``chunks``:
+    then every batch, whatever its size, is spread by id hash over rows numbered 0 to chunks - 1; a
+    number that no alert falls to has no row.
     """
-    sizes = last_batches(alerts, n).select(
-        "batch_id", "total_txns", "detected_at", F.ceil(F.col("fraud_count") / chunk_rows).alias("_chunks")
-    )
+    sizes = last_batches(alerts, n).select("batch_id", "total_txns", "detected_at")
     rows = alerts.join(F.broadcast(sizes), "batch_id")  # at most n rows
     keep = [c for c in alerts.columns]
-    chunk = F.pmod(mix32(F.col("transaction_id")), F.col("_chunks"))
     return (
-        rows.withColumn("chunk", F.when(F.col("_chunks") == 1, F.lit(0)).otherwise(chunk))
+        rows.withColumn("chunk", F.pmod(mix32(F.col("transaction_id")), F.lit(chunks)))
         .groupBy("batch_id", "chunk")
         .agg(
             F.max("total_txns").alias("total_txns"),
@@ -103,18 +102,16 @@ def top_locations(alerts: DataFrame, n: int = TOP_LOCATIONS) -> DataFrame:
     )
 
 
-def history_lines(nested: DataFrame) -> DataFrame:
-    """Batch, transactions and alerts, counted from the nested arrays."""
-    return nested.groupBy("batch_id").agg(
-        F.max("total_txns").alias("transactions"), F.sum(F.size("frauds")).alias("frauds")
-    )
+def history_lines(history: DataFrame) -> DataFrame:
+    """Batch, transactions and alerts of ``last_batches``."""
+    return history.select("batch_id", F.col("total_txns").alias("transactions"), F.col("fraud_count").alias("frauds"))
 
 
 def detail_table(alerts: DataFrame, store_id: str = "_id") -> DataFrame:
     """Text table: system columns hidden, upper-case headers, numbers at two decimals."""
     fields = [f for f in alerts.schema if f.name not in (*SYSTEM_COLUMNS, store_id)]
     return alerts.select(*[
-        (F.round(f.name, 2).cast("decimal(38,2)").cast("string") if isinstance(f.dataType, T.NumericType)
+        (F.round(f.name, 2).try_cast("decimal(38,2)").cast("string") if isinstance(f.dataType, T.NumericType)
          else F.col(f.name).cast("string")).alias(f.name.upper())
         for f in fields
     ])

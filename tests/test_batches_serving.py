@@ -81,17 +81,19 @@ def test_last_batches_orders(alerts):
     assert [(r.position, r.batch_id) for r in serving.chronological(serving.last_batches(alerts, 2)).collect()] == [(1, 1), (2, 2)]
 
 
-def test_large_batch_is_split_into_bounded_arrays(spark):
-    big = spark.range(5000).select(
+@pytest.mark.parametrize("rows", [900, 5000])
+def test_shape_of_nested_batches_is_the_same_at_any_size(spark, rows):
+    big = spark.range(rows).select(
         F.col("id").alias("transaction_id"), F.lit(3).cast("long").alias("batch_id"), F.hex("id").alias("_id"),
         F.lit(9000).cast("long").alias("total_batch_txns"), F.lit(datetime(2024, 1, 1)).alias("pipeline_detected_at"),
     )
-    nested = serving.strip_store_id(serving.last_batches_nested(big, chunk_rows=100))
-    sizes = [r.n for r in nested.select(F.size("frauds").alias("n")).collect()]
-    assert sum(sizes) == 5000 and len(sizes) == 50 and max(sizes) < 200
-    back = nested.select(F.inline("frauds"))
-    assert "_id" not in back.columns and back.select("transaction_id").distinct().count() == 5000
-    assert tuple(serving.history_lines(nested).first()) == (3, 9000, 5000)
+    nested = serving.strip_store_id(serving.last_batches_nested(big))
+    assert [(r.chunk, len(r.frauds)) for r in nested.collect()] == [(0, rows)]
+    spread = serving.strip_store_id(serving.last_batches_nested(big, chunks=10))
+    assert sorted(r.chunk for r in spread.collect()) == list(range(10))
+    back = spread.select(F.inline("frauds"))
+    assert "_id" not in back.columns and back.select("transaction_id").distinct().count() == rows
+    assert tuple(serving.history_lines(serving.last_batches(big)).first()) == (3, 9000, rows)
 
 
 def test_small_batch_is_one_array(alerts):
