@@ -33,8 +33,11 @@ def micros(ts: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Money as whole cents: sums of longs are exact in any order, sums of doubles are not."""
-    return F.round(amount * 100).cast("long")
+    """Money as whole cents: sums of longs are exact in any order, sums of doubles are not.
+
+    An amount that is no number or beyond 64 bits has no cents.
+    """
+    return F.round(amount * 100).try_cast("long")
 
 
 def flag(condition: Column) -> Column:

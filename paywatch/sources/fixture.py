@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.functions.columns import ratio
+from paywatch.functions.columns import ratio, whole_part
 from paywatch.operators.ensemble import ensemble
 from paywatch.operators.features import id_noise, transaction_features
 
@@ -35,7 +35,7 @@ def as_txns(events: DataFrame, nation: DataFrame) -> DataFrame:
         F.col("ts").alias("timestamp"),
         F.col("event_type").alias("device_type"),
         F.round(k / F.lit(99.0), 3).alias("merchant_risk_score"),
-        F.floor(F.col("event_id") / BATCH_ROWS).alias("batch_id"),
+        whole_part(F.col("event_id"), BATCH_ROWS).alias("batch_id"),
         F.pmod(F.col("user_id") + away, F.lit(LOCATIONS)).alias("_nation"),
     )
     places = nation.select(F.col("n_nationkey").cast("long").alias("_nation"), F.col("n_name").alias("location"))

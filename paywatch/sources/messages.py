@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paywatch.functions.columns import numbers_as_double
 from paywatch.sources.schema import MESSAGE_SCHEMA, TXN_COLUMNS, TXN_SCHEMA
 
+UNREADABLE = "_unreadable"
+KAFKA_OFFSETS_PER_TRIGGER = 1_000_000
+
 
 def decode(
     raw: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Message bytes to columns: one per schema field, everything else in the message is ignored."""
-    parsed = raw.select(*keep, F.from_json(F.col(value).cast("string"), schema).alias("data"))
-    return parsed.select(*keep, "data.*")
+    """Message bytes to columns: one per schema field, everything else in the message is ignored.
+
+    A generator unpacks the record, so that a later filter on a field does not parse the message again.
+    """
+    record = F.from_json(F.col(value).cast("string"), schema, {"columnNameOfCorruptRecord": UNREADABLE})
+    return raw.select(*keep, F.inline(F.array(record)))
 
 
 def typed(df: DataFrame) -> DataFrame:
@@ -30,21 +35,33 @@ def typed(df: DataFrame) -> DataFrame:
     ])
 
 
+def checked(schema: T.StructType) -> T.StructType:
+    """The schema with a field that keeps the text of a message with unreadable fields, for ``readable``."""
+    return T.StructType([*schema, T.StructField(UNREADABLE, T.StringType())])
+
+
+def _is_readable(df: DataFrame, key: str) -> Column:
+    known = F.col(key).isNotNull()
+    return known & F.col(UNREADABLE).isNull() if UNREADABLE in df.columns else known
+
+
 def readable(df: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Messages that decoded; a malformed one has no id."""
-    return df.filter(F.col(key).isNotNull())
+    """Messages that decoded: they have an id and, decoded with ``checked``, no field that is there but unreadable."""
+    return df.filter(_is_readable(df, key)).drop(UNREADABLE)
 
 
-def quarantine(raw: DataFrame, value: str = "value", key: str = "transaction_id") -> DataFrame:
+def quarantine(
+    raw: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, value: str = "value", key: str = "transaction_id"
+) -> DataFrame:
     """Text of the messages that ``readable`` leaves out."""
-    text = F.col(value).cast("string")
-    only_id = T.StructType([MESSAGE_SCHEMA[key]])
-    return raw.filter(F.from_json(text, only_id)[key].isNull()).select(text.alias("message"))
+    text = raw.select(F.col(value).cast("string").alias("message"))
+    parsed = decode(text.withColumn("_text", F.col("message")), checked(schema), "_text", keep=["message"])
+    return parsed.filter(~_is_readable(parsed, key)).select("message")
 
 
 def encode(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """One JSON object per row, every number written as a float, timestamps to the microsecond."""
-    texts = numbers_as_double(df)
+    """One JSON object per row, whole numbers with all their digits, timestamps to the microsecond."""
+    texts = df
     times = [f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
     if times:
         texts = texts.withColumns({c: F.col(c).cast("string") for c in times})
@@ -60,7 +77,7 @@ def message_stream(
     path: str | None = None,
     starting_offsets: str = "latest",
     fail_on_data_loss: bool = False,
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = KAFKA_OFFSETS_PER_TRIGGER,
     max_files_per_trigger: int = 1,
 ) -> DataFrame:
     """Stream with a ``value`` column from a topic, or from a folder of JSON-lines files.

@@ -30,14 +30,14 @@ TXN_SCHEMA = T.StructType([
 
 TXN_COLUMNS = TXN_SCHEMA.fieldNames()
 
-# Messages carry every number as a float (``5.0``), which an integer field would decode to null.
-MESSAGE_SCHEMA = T.StructType([
-    T.StructField(
-        f.name,
-        T.StringType() if isinstance(f.dataType, (T.StringType, T.TimestampType)) else T.DoubleType(),
-    )
-    for f in TXN_SCHEMA
-])
+def _message_type(kind: T.DataType) -> T.DataType:
+    """Messages may carry a whole number as ``5`` or ``5.0``; a decimal reads both, exact to 64 bits and beyond."""
+    if isinstance(kind, (T.StringType, T.TimestampType)):
+        return T.StringType()
+    return T.DoubleType() if isinstance(kind, T.DoubleType) else T.DecimalType(20, 0)
+
+
+MESSAGE_SCHEMA = T.StructType([T.StructField(f.name, _message_type(f.dataType)) for f in TXN_SCHEMA])
 
 # The columns the per-batch metrics read.
 NARROW_COLUMNS = [

@@ -24,7 +24,7 @@ def test_round_trip(spark, typed, tmp_path, fmt):
 def test_messages_round_trip(spark, typed, tmp_path):
     messages.publish(typed, "files", path=str(tmp_path / "m"))
     raw = spark.read.text(str(tmp_path / "m"))
-    assert '"is_fraud":0.0' in raw.filter("value like '%\"is_fraud\":0.0%'").first().value
+    assert '"is_fraud":0' in raw.filter("value like '%\"is_fraud\":0%'").first().value
     back = messages.typed(messages.decode(raw))
     assert back.exceptAll(typed).count() == 0 and back.count() == typed.count()
     narrow = messages.decode(raw, schema.NARROW_SCHEMA)
@@ -37,6 +37,25 @@ def test_malformed_messages_go_to_quarantine(spark):
     assert {r.message for r in messages.quarantine(raw).collect()} == {"nope", None}
 
 
+def test_ids_keep_all_digits_and_unreadable_fields_disqualify(spark):
+    from paywatch.streaming import jobs
+
+    raw = spark.createDataFrame([('{"transaction_id": 9007199254740993, "amount": 2}',), ('{"transaction_id": 7.0}',),
+                                 ('{"transaction_id": 8, "amount": "abc"}',)], "value string")
+    got = {r.transaction_id: r.amount for r in jobs.transactions(raw).collect()}
+    assert got == {9007199254740993: 2.0, 7: 0.0}
+    assert [r.message for r in messages.quarantine(raw).collect()] == ['{"transaction_id": 8, "amount": "abc"}']
+    plan = jobs.transactions(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_odd_amounts_do_not_fail(spark):
+    from paywatch.functions.columns import cents
+
+    df = spark.createDataFrame([(1.25,), (float("nan"),), (1e300,), (None,)], "amount double")
+    assert [r.c for r in df.select(cents(F.col("amount")).alias("c")).collect()] == [125, None, None, None]
+
+
 def test_unknown_source_and_sink(spark, typed):
     with pytest.raises(ValueError):
         messages.message_stream(spark, "carrier pigeon")
