@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paywatch.operators.slices import running_totals, small_side
+from paywatch.operators.slices import range_slices, running_totals, small_side
+from paywatch.session import cut_lineage
 
-PREFIX = 2
+VALUES_PER_SLICE = 100_000
 
 
 def label_dictionary(df: DataFrame, column: str) -> DataFrame:
     """Distinct values in ascending order numbered from 0: columns value, code."""
-    values = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
-    sliced = values.withColumn("_slice", F.substring("value", 1, PREFIX))
+    values = cut_lineage(df.filter(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct())
+    sliced = range_slices(values, "value", VALUES_PER_SLICE)
     ranked = running_totals(sliced, "_slice", [F.col("value")], {"_rank": F.lit(1)})
     return ranked.select("value", (F.col("_rank") - 1).cast("int").alias("code"))
 

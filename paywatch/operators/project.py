@@ -99,9 +99,8 @@ def alert_line(df: DataFrame) -> DataFrame:
         score.alias("score"),
         "amount",
         F.concat(
-            F.lit("ID: "), F.col("transaction_id").cast("long").cast("string"),
-            F.lit(" | Score: "), score.cast("decimal(10,3)").cast("string"),
-            F.lit(" | Amt: "), F.col("amount").cast("decimal(18,2)").cast("string"),
+            F.col("amount").try_cast("decimal(18,2)").cast("string"), F.lit(" in transaction "),
+            F.col("transaction_id").cast("long").cast("string"), F.lit(", risk "), score.try_cast("decimal(10,3)").cast("string"),
         ).alias("line"),
     )
 

@@ -240,7 +240,7 @@ def build() -> dict[str, str]:
     q["p14_public_cols"] = f"WITH {ALERTS} SELECT {fields} FROM alerts"
     score3 = _round("fraud_score", 3)
     q["p15_alert_line"] = f"""WITH {SCORED} SELECT transaction_id, {score3} AS score, amount,
-  'ID: ' || transaction_id || ' | Score: ' || CAST(CAST({score3} AS DECIMAL(10, 3)) AS VARCHAR) || ' | Amt: ' || CAST(CAST(amount AS DECIMAL(18, 2)) AS VARCHAR) AS line
+  CAST(CAST(amount AS DECIMAL(18, 2)) AS VARCHAR) || ' in transaction ' || transaction_id || ', risk ' || CAST(CAST({score3} AS DECIMAL(10, 3)) AS VARCHAR) AS line
   FROM scored WHERE fraud_score > 0.5::DOUBLE"""
     q["p16_preview"] = f"WITH {RAW} SELECT transaction_id, user_id, amount, location FROM raw ORDER BY transaction_id LIMIT 5"
 
@@ -262,6 +262,9 @@ def build() -> dict[str, str]:
     q["f5_f11_orders"] = _user_column(
         "user_avg, prior_avg, is_new_device, previous_location, location_change, time_since_last_txn, velocity", USER_ORDERS
     )
+    q["f5_f11_sliced"] = _user_column(
+        "user_avg, prior_avg, is_new_device, previous_location, location_change, time_since_last_txn, velocity"
+    )
     q["f12_merchant_risk"] = f"""WITH {FEAT}, {_split('feat')},
 train AS (SELECT * FROM split WHERE split = 'train'),
 prior AS (SELECT CAST(sum(is_fraud) AS DOUBLE) / count(*) AS prior FROM train),
@@ -343,16 +346,15 @@ SELECT counts.*, a.alert_count, a.alert_ids FROM counts JOIN (
     q["t10_alert_rate"] = f"WITH {ALERTS} SELECT batch_id, count(*) AS alert_count FROM alerts GROUP BY batch_id"
     q["t10_window"] = f"""WITH {ALERTS} SELECT epoch_us(date_trunc('hour', timestamp)) AS window_start_us, count(*) AS alert_count
   FROM alerts GROUP BY ALL"""
-    q["t6_stream_totals"] = """SELECT count(*) AS total, count(*) FILTER (value > 100) AS detected, count(*) AS actual,
-  count(*) FILTER (value <= 100) AS missed FROM events"""
-    q["t10_stream_window"] = """SELECT * FROM (
-  SELECT epoch_us(date_trunc('hour', ts)) AS window_start_us, count(*) AS alert_count FROM events WHERE value > 100 GROUP BY ALL)
-WHERE window_start_us + 3600000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 - 3600000000 FROM events WHERE value > 100)"""
+    q["t6_stream_totals"] = f"""WITH {FEAT} SELECT count(*) AS total, count(*) FILTER (amount > 100) AS detected,
+  count(*) FILTER (is_fraud = 1) AS actual, count(*) FILTER (amount <= 100 AND is_fraud = 1) AS missed FROM feat"""
+    q["t10_stream_window"] = """SELECT epoch_us(date_trunc('hour', ts)) AS window_start_us, count(*) AS alert_count
+FROM events WHERE value > 100 GROUP BY ALL"""
     q["t11_stream_features"] = f"""WITH {USER}, numbered AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp, transaction_id) AS n FROM usr)
 SELECT user_id, transaction_id, is_new_device, CASE WHEN n > 1 THEN previous_location END AS previous_location,
   CASE WHEN n > 1 THEN location_change ELSE 0 END AS location_change, time_since_last_txn, velocity
-FROM numbered WHERE epoch_us(timestamp) < (SELECT max(epoch_us(ts)) // 1000 * 1000 - 3600000000 FROM events)"""
+FROM numbered"""
     q["t12_canary_recall"] = f"""WITH {REPLAY},
 flagged AS (
   SELECT hit, 0.5::DOUBLE * (({RISK} + 0.15::DOUBLE * ((source_id % 1000 * 7919) % 1000) / 1000.0::DOUBLE) / 1.15::DOUBLE)
@@ -367,6 +369,9 @@ SELECT count(*) AS canaries, count(*) FILTER (flag) AS flagged,
   coalesce(max(batch_id), 0) AS batch_id, count(*) AS fraud_count, coalesce(max(total_batch_txns), 0) AS total_txns,
   max(pipeline_detected_at) AS detected_at FROM latest"""
     q["v4_last_five"] = f"WITH {ALERTS} SELECT * FROM five"
+    q["v4_nested"] = f"""WITH {ALERTS} SELECT batch_id, CAST(0 AS BIGINT) AS chunk, max(total_batch_txns) AS total_txns, max(pipeline_detected_at) AS detected_at,
+  CAST(count(*) AS INTEGER) AS fraud_count, string_agg(CAST(transaction_id AS VARCHAR), ',' ORDER BY transaction_id) AS fraud_ids
+FROM alerts WHERE batch_id IN (SELECT batch_id FROM five) GROUP BY batch_id"""
     q["v5_strip_nested"] = f"WITH {ALERTS} SELECT {fields}, batch_id, total_batch_txns FROM alerts WHERE batch_id IN (SELECT batch_id FROM five)"
     q["v6_chronological"] = f"WITH {ALERTS} SELECT CAST(row_number() OVER (ORDER BY batch_id) AS INTEGER) AS position, batch_id, fraud_count FROM five"
     q["v7_device_counts"] = f"WITH {ALERTS} SELECT device_type AS name, count(*) AS value FROM latest GROUP BY device_type"

@@ -8,6 +8,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from paywatch.functions.columns import micros
 from paywatch.operators import batches, encode, evaluate, features, project, sampling, serving
@@ -33,10 +34,24 @@ def query(fn: Query) -> Query:
     return run
 
 
-def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored rows above the threshold with their batch metadata: the alert table."""
+@lru_cache(maxsize=8)
+def _alert_table(app: str, sf_dir: str) -> tuple[str, StructType]:
+    spark = SparkSession.active()
     hits = project.over_threshold(fixture.scored(spark, sf_dir), fixture.ALERT_THRESHOLD)
-    return batches.with_batch_meta(hits, fixture.events_as_txns(spark, sf_dir))
+    rows = batches.with_batch_meta(hits, fixture.events_as_txns(spark, sf_dir))
+    path = f"{storage_dir(spark)}/alerts-{uuid4().hex}"
+    rows.repartition("batch_id").write.partitionBy("batch_id").parquet(path)
+    return path, rows.schema
+
+
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert table: scored rows above the threshold with their batch metadata.
+
+    Stored once per application and folder, by batch, as the streaming sink stores it; the serving
+    queries read that table and only the batches they ask for.
+    """
+    path, kinds = _alert_table(spark.sparkContext.applicationId, sf_dir)
+    return spark.read.schema(kinds).parquet(path)
 
 
 def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +293,16 @@ def f5_f11_orders(spark, sf):
     )
 
 
+@query
+def f5_f11_sliced(spark, sf):
+    """The same features with every user's rows cut into time slices."""
+    txns = fixture.events_as_txns(spark, sf)
+    return features.user_features(txns, fixture.DAY, features.hot_users(txns, 0)).select(
+        TXN, "user_avg", "prior_avg", "is_new_device", "previous_location", "location_change",
+        "time_since_last_txn", "velocity",
+    )
+
+
 @query
 def f12_merchant_risk(spark, sf):
     rows = sampling.split_by_hash(fixture.features(spark, sf)).select(TXN, "merchant_id", "is_fraud", "split")
@@ -560,13 +585,33 @@ def t10_window(spark, sf):
 # ---- the same on streams: the event table is read as a file stream -------------------------------
 
 
+STREAM_PARTS = 4
+FAR_FUTURE = "2200-01-01 00:00:00"
+
+
+def _as_stream(spark, txns):
+    """Transactions as a stream of several micro-batches in time order, ended by a row of the far future.
+
+    That row has no id. It moves the watermark past everything before it and stays in state itself.
+    """
+    txns = cut_lineage(txns.withColumn("timestamp", F.col("timestamp").cast("timestamp")))
+    folder = f"{storage_dir(spark)}/stream-{uuid4().hex}"
+    shares = [i / STREAM_PARTS for i in range(1, STREAM_PARTS)]
+    cut = txns.agg(F.percentile_approx(F.unix_micros("timestamp"), shares).alias("c")).first()["c"] or []
+    us = F.unix_micros("timestamp")
+    for n, (low, high) in enumerate(zip([None, *cut], [*cut, None])):
+        part = txns.filter((us > low if low is not None else F.lit(True)) & (us <= high if high is not None else F.lit(True)))
+        part = part.unionByName(txns.filter(us.isNull())) if n == 0 else part
+        part.coalesce(1).write.parquet(f"{folder}/{n}")
+    last = {"timestamp": F.lit(FAR_FUTURE).cast("timestamp"), "user_id": F.lit(-1), "amount": F.lit(1e9)}
+    kinds = {f.name: f.dataType for f in txns.schema}
+    flush = spark.range(1).select(*[last.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
+    flush.write.parquet(f"{folder}/{STREAM_PARTS}")
+    return spark.readStream.schema(txns.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+
+
 def _event_stream(spark, sf):
-    """Raw transactions as a stream, timestamps with zone."""
-    path = f"{sf}/events*.parquet"
-    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    return fixture.as_txns(events, fixture.table(spark, sf, "nation")).withColumn(
-        "timestamp", F.col("timestamp").cast("timestamp")
-    )
+    return _as_stream(spark, fixture.events_as_txns(spark, sf))
 
 
 def _run(spark, writer_of, name):
@@ -578,7 +623,8 @@ def _run(spark, writer_of, name):
 
 @query
 def t6_stream_totals(spark, sf):
-    predicted = jobs.with_prediction(_event_stream(spark, sf).withColumn("is_fraud", F.lit(1)), None, limit=100.0)
+    labelled = _as_stream(spark, fixture.features(spark, sf)).filter(F.col(TXN).isNotNull())
+    predicted = jobs.with_prediction(labelled, None, limit=100.0)
     rows = _run(spark, lambda out: jobs.totals(predicted).writeStream.outputMode("complete").foreachBatch(
         jobs.totals_sink(out)), "totals")
     newest = rows.agg(F.max("batch_id").alias("b")).scalar()
@@ -587,7 +633,7 @@ def t6_stream_totals(spark, sf):
 
 @query
 def t10_stream_window(spark, sf):
-    """Hourly count of rows over the rule amount; a window is out once the watermark passed it."""
+    """Hourly count of rows over the rule amount, every window of the table."""
     hits = _event_stream(spark, sf).filter(project.rule_hit(limit=100.0))
     rows = _run(spark, lambda out: batches.alerts_per_window(hits).writeStream.outputMode("append").format(
         "parquet").option("path", out), "windows")
@@ -636,6 +682,15 @@ def _nested(spark, sf):
     return serving.strip_store_id(serving.last_batches_nested(stored))
 
 
+@query
+def v4_nested(spark, sf):
+    """The newest batches as nested rows, one per batch."""
+    return _nested(spark, sf).select(
+        "batch_id", "chunk", "total_txns", "detected_at", F.size("frauds").alias("fraud_count"),
+        F.array_join(F.transform(F.array_sort(f"frauds.{TXN}"), lambda x: x.cast("string")), ",").alias("fraud_ids"),
+    )
+
+
 @query
 def v5_strip_nested(spark, sf):
     return _nested(spark, sf).select(F.inline("frauds")).drop("pipeline_detected_at")
@@ -658,7 +713,7 @@ def v8_top_locations(spark, sf):
 
 @query
 def v9_history(spark, sf):
-    return serving.history_lines(_nested(spark, sf))
+    return serving.history_lines(serving.last_batches(alerts(spark, sf)))
 
 
 @query

@@ -45,11 +45,17 @@ def train_job(
         "transaction_id", LABEL, "fraud_score", "forest_score", "boost_score", "forest_pred", "boost_pred"
     ).write.mode("overwrite").parquet(f"{work_dir}/test_scores")
     scores = spark.read.parquet(f"{work_dir}/test_scores")
+    models.score(part["val"]).select("transaction_id", LABEL, "forest_pred", "boost_pred").write.mode("overwrite").parquet(f"{work_dir}/val_scores")
+    held = spark.read.parquet(f"{work_dir}/val_scores")
     called = apply_threshold(scores, models.threshold)
     write_report(classification_report(called), f"{work_dir}/report")
     for name, result in {
         "forest_report": classification_report(scores, pred="forest_pred"),
         "boost_report": classification_report(scores, pred="boost_pred"),
+        "forest_val_report": classification_report(held, pred="forest_pred"),
+        "boost_val_report": classification_report(held, pred="boost_pred"),
+        "forest_auc": roc_auc(scores, "forest_score"),
+        "boost_auc": roc_auc(scores, "boost_score"),
         "confusion": confusion_matrix(called),
         "auc": roc_auc(scores),
         "roc_curve": roc_curve(scores),

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from paywatch.operators.batches import batch_metrics
 from paywatch.operators.models import RiskModels
 from paywatch.operators.project import fill_zero, over_threshold, rule_hit
-from paywatch.sources.messages import decode, quarantine, readable, typed
+from paywatch.sources.messages import checked, decode, quarantine, readable, typed
 from paywatch.sources.schema import MESSAGE_SCHEMA, NARROW_SCHEMA, RULE_AMOUNT, TRIGGER
 
 
@@ -38,13 +38,13 @@ class RunPaths:
 
 
 def transactions(raw: DataFrame) -> DataFrame:
-    """Messages as typed transactions; numbers missing from a message become 0."""
-    return typed(fill_zero(readable(decode(raw, MESSAGE_SCHEMA))))
+    """Messages as typed transactions; numbers missing from a message become 0, unreadable ones disqualify it."""
+    return typed(fill_zero(readable(decode(raw, checked(MESSAGE_SCHEMA)))))
 
 
 def narrow_transactions(raw: DataFrame) -> DataFrame:
     """Only the columns the metrics need. The label is read as a float and cast."""
-    return typed(readable(decode(raw, NARROW_SCHEMA)))
+    return typed(readable(decode(raw, checked(NARROW_SCHEMA))))
 
 
 def start(
@@ -120,10 +120,12 @@ def metrics_sink(path: str) -> Callable[[DataFrame, int], None]:
     """Per micro-batch one metric record: size, detected, actual, missed and its top alerts."""
 
     def write(predicted: DataFrame, batch_id: int) -> None:
-        if predicted.isEmpty():
-            return
-        record = batch_metrics(predicted.withColumn("batch_id", F.lit(batch_id).cast("long")))
-        record.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = predicted.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()  # counted and ranked, scored once
+        try:
+            if not rows.isEmpty():
+                batch_metrics(rows).drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
 
     return write
 

@@ -29,6 +29,8 @@ OUTPUT = (
     "user_id long, transaction_id long, is_new_device int, previous_location string, "
     "location_change int, time_since_last_txn double, velocity long"
 )
+WAITING = "us array<long>, id array<long>, device array<string>, location array<string>"
+MINUTE = 60_000_000
 INPUT = ["user_id", "transaction_id", "timestamp", "device_type", "location"]
 
 
@@ -42,7 +44,7 @@ class UserFeatures(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us long, id long, device string, location string")
+        self.waiting = handle.getMapState("waiting", "minute long", WAITING)
         self.last = handle.getValueState("last", "us long, location string")
         self.devices = handle.getMapState("devices", "device string", "seen boolean")
         self.counts = handle.getMapState("counts", "bucket long", "n long")
@@ -51,9 +53,11 @@ class UserFeatures(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)
         if len(new):
-            self.waiting.appendList(list(zip(
-                new["us"].tolist(), new["transaction_id"].tolist(), new["device_type"].tolist(), new["location"].tolist()
-            )))
+            for minute, part in new.groupby(new["us"] // MINUTE):
+                held = self._held(int(minute)) + list(zip(
+                    part["us"].tolist(), part["transaction_id"].tolist(), part["device_type"].tolist(), part["location"].tolist()
+                ))
+                self._hold(int(minute), held)
             self._wake_after(int(new["us"].min()))
         return iter([])
 
@@ -63,17 +67,28 @@ class UserFeatures(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[:2]) if self.waiting.exists() else []
-        ready = [r for r in rows if r[0] < upto]
-        if not ready:
-            return
-        later = rows[len(ready):]
-        if later:
-            self.waiting.put(later)
-            self._wake_after(later[0][0])
-        else:
-            self.waiting.clear()
-        yield self._features(key[0], ready)
+        minutes = sorted(k[0] for k in self.waiting.keys())
+        due = [m for m in minutes if m * MINUTE < upto]
+        ready, later = [], []
+        for minute in due:  # only the last one can hold rows the watermark has not passed
+            rows = sorted(self._held(minute), key=lambda r: r[:2])
+            ready += [r for r in rows if r[0] < upto]
+            later = [r for r in rows if r[0] >= upto]
+            if later:
+                self._hold(minute, later)
+            else:
+                self.waiting.removeKey((minute,))
+        if later or len(due) < len(minutes):
+            self._wake_after(later[0][0] if later else min(r[0] for r in self._held(minutes[len(due)])))
+        if ready:
+            yield self._features(key[0], ready)
+
+    def _held(self, minute: int) -> list[tuple]:
+        """Waiting rows of one minute; a state map holds them as parallel arrays."""
+        return list(zip(*self.waiting.getValue((minute,)))) if self.waiting.containsKey((minute,)) else []
+
+    def _hold(self, minute: int, rows: list[tuple]) -> None:
+        self.waiting.updateValue((minute,), tuple(map(list, zip(*rows))))
 
     def _features(self, user: int, rows: list[tuple]) -> pd.DataFrame:
         us = np.array([r[0] for r in rows], dtype="int64")
@@ -85,7 +100,7 @@ class UserFeatures(StatefulProcessor):
         out = pd.DataFrame({
             "user_id": user,
             "transaction_id": [r[1] for r in rows],
-            "is_new_device": [self._is_new(r[2] or "") for r in rows],
+            "is_new_device": self._are_new([r[2] for r in rows]),
             "previous_location": before_location,
             "location_change": [
                 int(b is not None and a is not None and a != b) for a, b in zip(location, before_location)
@@ -96,11 +111,17 @@ class UserFeatures(StatefulProcessor):
         self.last.update((int(us[-1]), location[-1]))
         return out
 
-    def _is_new(self, device: str) -> int:
-        if self.devices.containsKey((device,)):
-            return 0
-        self.devices.updateValue((device,), (True,))
-        return 1
+    def _are_new(self, devices: list[str | None]) -> list[int]:
+        """Which rows show a device for the first time; a missing one is a device of its own, unlike ""."""
+        keys = ["-" if d is None else "+" + d for d in devices]
+        known = {k for k in dict.fromkeys(keys) if self.devices.containsKey((k,))}
+        fresh = []
+        for k in keys:
+            fresh.append(int(k not in known))
+            if fresh[-1]:
+                known.add(k)
+                self.devices.updateValue((k,), (True,))
+        return fresh
 
     def _trailing(self, us: np.ndarray) -> np.ndarray:
         """Rows in (t - window, t], both ends included, from whole buckets and two partial ones."""
@@ -145,12 +166,23 @@ def stream_features(txns: DataFrame, delay: str = "10 minutes", window_seconds:
     """Streaming form of the user features that look back; needs a timestamp with time zone.
 
     A first row has no previous location here: the home location is only known from the whole table.
-    Rows without a time have no place in the order and are left out.
+    Rows without a user or a time have no history: they are never keyed and pass at once, standing alone.
     """
-    rows = txns.select(*INPUT).filter(F.col("timestamp").isNotNull()).withWatermark("timestamp", delay).withColumn("us", micros(F.col("timestamp")))
-    return rows.groupBy("user_id").transformWithStateInPandas(
+    placed = F.col("user_id").isNotNull() & F.col("timestamp").isNotNull()
+    alone = txns.filter(~placed).select(
+        "user_id",
+        "transaction_id",
+        F.lit(1).alias("is_new_device"),
+        F.lit(None).cast("string").alias("previous_location"),
+        F.lit(0).alias("location_change"),
+        F.lit(0.0).alias("time_since_last_txn"),
+        F.lit(1).cast("long").alias("velocity"),
+    )
+    rows = txns.select(*INPUT).filter(placed).withWatermark("timestamp", delay).withColumn("us", micros(F.col("timestamp")))
+    keyed = rows.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=UserFeatures(window_seconds),
         outputStructType=OUTPUT,
         outputMode="Append",
         timeMode="EventTime",
     )
+    return keyed.unionByName(alone)
