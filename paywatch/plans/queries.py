@@ -398,24 +398,17 @@ def m2_encode(spark, sf):
     return coded.select(TXN, "device_type", "location")
 
 
-# Few trees and rounds keep the registered fits short; the operators default to the full sizes.
-CHECK_TREES = 20
-CHECK_ROUNDS = 10
-
-
 @lru_cache(maxsize=4)
 def _fitted(app: str, sf: str) -> tuple[RiskModels, DataFrame]:
     spark = SparkSession.active()
     rows = sampling.split_by_hash(fixture.features(spark, sf)).select(*schema.TXN_COLUMNS, "batch_id", "split")
     rows = cut_lineage(rows)
-    models = fit_models(
-        rows.filter("split = 'train'"), rows.filter("split = 'val'"), trees=CHECK_TREES, rounds=CHECK_ROUNDS
-    )
+    models = fit_models(rows.filter("split = 'train'"), rows.filter("split = 'val'"))
     return models, rows
 
 
 def fitted(spark: SparkSession, sf: str) -> tuple[RiskModels, DataFrame]:
-    """Models fitted on the train split of a folder, once per application."""
+    """Models of full size, fitted on the train split of a folder once per application."""
     return _fitted(spark.sparkContext.applicationId, sf)
 
 
