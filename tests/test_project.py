@@ -41,7 +41,7 @@ def test_defaults_fill_and_add(spark):
 
 def test_alert_line_text(spark):
     df = spark.createDataFrame([(7.0, 0.12345, 1500.5)], "transaction_id double, fraud_score double, amount double")
-    assert project.alert_line(df).first().line == "ID: 7 | Score: 0.123 | Amt: 1500.50"
+    assert project.alert_line(df).first().line == "1500.50 in transaction 7, risk 0.123"
 
 
 def test_public_columns_clamp_preview_rule(spark):
