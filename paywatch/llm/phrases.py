@@ -160,7 +160,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         bucketed = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="place", outputCol="bucket", handleInvalid="keep")
         rows, bucket = bucketed.transform(rows.withColumn("place", F.col("doc_id").cast("double"))), F.col("bucket").cast("int")
     placed = rows.select("doc_id", "text", F.when(F.col("doc_id").isNull(), -1).otherwise(bucket).alias("slice"))
-    heads = placed.groupBy("slice").agg(F.max("doc_id").alias("head")).orderBy(F.desc("slice")).collect()  # at most MAX_SLICES rows
+    heads = placed.groupBy("slice").agg(F.max("doc_id").alias("head")).orderBy(F.desc("slice")).toArrow().to_pylist()  # at most MAX_SLICES rows
     if not heads:
         return docs.sparkSession.createDataFrame([], SCHEMA)
     before = {h["slice"]: heads[i - 1]["slice"] for i, h in enumerate(heads)}
