@@ -5,17 +5,32 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
+from array import array
 from functools import cache
 
 import numpy as np
 
 # Words a worker remembers per generation; two generations are kept, so what is in use stays.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 # Unknown pieces are encoded this many at a time, as one text with separators whose id shows where each piece ends.
 JOINED = 512
 GROUP_BYTES = 1 << 20
 GAP = re.compile(r"(?<=\S)(?= \S)")
-WIDE_GAP = re.compile(r"\s\s|\A\s|\s\Z")
+# White space other than lone blanks and line ends, as UTF-8 (U+2000 to U+203F by their common bytes).
+WIDE_GAPS = (b"  ", b" \n", b"\n ", b"\n\n", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+OTHER_SPACE = bytes([*range(0x09, 0x0A), *range(0x0B, 0x0E), *range(0x1C, 0x20)])
+LAST_LATIN = "\u024f"
+
+
+def _byte_letters() -> str:
+    """The letters that byte-level vocabularies write bytes with: printable ones are themselves, others follow from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return "".join(chr(b) if b in own else chr(next(others)) for b in range(256))
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 def _whole(text: bytes) -> list[bytes]:
@@ -29,17 +44,9 @@ def _blank_separated(text: bytes) -> list[bytes]:
 
 def _blank_led(text: bytes) -> list[bytes]:
     """For byte-level BPE, whose pieces never run past a lone blank or line end between other characters."""
-    string = text.decode()
-    if WIDE_GAP.search(string):
-        return [p.encode() for p in GAP.split(string) if p]
-    out: list[bytes] = []
-    for line in text.split(b"\n"):
-        first, *rest = line.split(b" ")
-        out.append(first)
-        out.extend([b" " + w for w in rest])
-        out.append(b"\n")
-    out.pop()
-    return out if text else []
+    if text.strip() != text or any(g in text for g in WIDE_GAPS) or len(text.translate(None, OTHER_SPACE)) < len(text):
+        return [p.encode() for p in GAP.split(text.decode()) if p]
+    return text.replace(b"\n", b" \n ").replace(b" ", b"\t ").replace(b"\t \n\t ", b"\t\n\t").split(b"\t") if text else []
 
 
 def _splitter(spec: dict):
@@ -67,6 +74,8 @@ class Encoder:
             self._split, self._mark, self._between = _splitter(json.load(file))
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._model = self._tokenizer.model
+        self._folds = self._tokenizer.normalizer is not None
         marks = self._ids([self._mark])[0] if self._mark else ()
         self._mark_id = int(marks[0]) if len(marks) == 1 else None
         self._now: dict[bytes, bytes] = {}
@@ -75,28 +84,54 @@ class Encoder:
     def _ids(self, strings: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self._tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
 
-    def _fill(self, pieces: set[bytes]) -> None:
-        alone, joined = [], []
-        for piece in pieces:
-            known = self._before.get(piece)
-            if known is not None:
-                self._now[piece] = known
-            elif self._mark_id is None or self._mark.encode() in piece:
-                alone.append(piece)
-            else:
-                joined.append(piece)
+    def _is_word(self, piece: bytes) -> bool:
+        """One run of Latin letters, with a blank before it where the tokenizer keeps blanks, that nothing rewrites."""
+        word = piece[1:] if piece[:1] == b" " else piece
+        if word.isascii():
+            return word.isalpha()
+        string = word.decode()
+        return string.isalpha() and max(string) <= LAST_LATIN and (not self._folds or (string.lower() == string and unicodedata.is_normalized("NFC", string)))
+
+    def _encode_new(self, pieces: list[bytes]) -> None:
+        """Encode pieces nobody remembers: plain words by the model itself, others many as one text, with marks between."""
+        mark, now = self._mark.encode(), self._now
+        words = [p for p in pieces if self._is_word(p)] if self._mark_id is not None else []
+        for word in words:
+            tokens = self._model.tokenize(word.decode("latin-1").translate(BYTE_LETTERS))
+            now[word] = array("I", [t.id for t in tokens]).tobytes()
+        if words:
+            pieces = list(set(pieces).difference(words))
+        alone = [p for p in pieces if mark in p] if self._mark_id is not None else pieces
+        joined = [p for p in pieces if mark not in p] if self._mark_id is not None else []
         groups = [joined[at : at + JOINED] for at in range(0, len(joined), JOINED)]
-        for group, ids in zip(groups, self._ids([self._between.join([p.decode() for p in g]) for g in groups])):
-            parts = np.nonzero(ids == self._mark_id)[0]
+        between = self._between.encode()
+        for group, ids in zip(groups, self._ids([between.join(g).decode() for g in groups])):
+            parts = np.flatnonzero(ids == self._mark_id)
             if len(parts) != len(group) - 1:
-                alone.extend(group)
+                alone = alone + group
                 continue
-            data, begin = ids.tobytes(), 0
-            for piece, end in zip(group, [*parts.tolist(), len(ids)]):
-                self._now[piece] = data[4 * begin : 4 * end]
-                begin = end + 1
-        for piece, ids in zip(alone, self._ids([p.decode() for p in alone])):
-            self._now[piece] = ids.tobytes()
+            data, ends = ids.tobytes(), (4 * parts).tolist()
+            now.update(zip(group, [data[b:e] for b, e in zip([0, *[x + 4 for x in ends]], [*ends, len(data)])]))
+        if alone:
+            now.update(zip(alone, [ids.tobytes() for ids in self._ids([p.decode() for p in alone])]))
+
+    def _fill(self, pieces: set[bytes]) -> None:
+        """Remember the ids of pieces; a word's last comma or full stop after a letter or digit has ids of its own."""
+        now, before = self._now, self._before
+        known = before.keys() & pieces if len(before) < len(pieces) else [p for p in pieces if p in before]
+        now.update([(p, before[p]) for p in known])
+        new = pieces.difference(known) if known else pieces
+        if self._mark_id is None:
+            self._encode_new(list(new))
+            return
+        ended = [p for p in new if p[-1] in b".," and p[-2:-1].isalnum()]
+        stems = {p[:-1] for p in ended}
+        ends = {p[-1:] for p in ended}
+        for p in (stems | ends).difference(now):
+            if p in before:
+                now[p] = before[p]
+        self._encode_new(list((new.difference(ended) | stems | ends).difference(now)))
+        now.update([(p, now[p[:-1]] + now[p[-1:]]) for p in ended])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         out: list[bytes] = []
@@ -109,9 +144,14 @@ class Encoder:
             if len(self._now) > MEMO_WORDS:
                 self._before, self._now = self._now, {}
             pieces = [self._split(t) for t in texts[at:stop]]
-            self._fill(set().union(*pieces).difference(self._now))
-            known = self._now.__getitem__
-            out.extend([b"".join(map(known, p)) for p in pieces])
+            known = self._now.get
+            found = [list(map(known, p)) for p in pieces]
+            gaps = [[i for i, x in enumerate(f) if x is None] if None in f else () for f in found]
+            self._fill({p[i] for p, g in zip(pieces, gaps) for i in g})
+            for p, f, g in zip(pieces, found, gaps):
+                for i in g:
+                    f[i] = known(p[i])
+            out.extend(map(b"".join, found))
             at = stop
         return out
 

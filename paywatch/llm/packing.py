@@ -32,17 +32,21 @@ class Index:
         self.docs = len(ids)
         length = np.array([len(x) for x in ids])
         owner = np.repeat(np.arange(self.docs), length)
-        key, tf = np.unique(np.concatenate(ids).astype(np.int64) * self.docs + owner, return_counts=True)
-        term, doc = np.divmod(key, self.docs)
-        _, place, df = np.unique(term, return_inverse=True, return_counts=True)
-        idf = np.log((self.docs - df + 0.5) / (df + 0.5))[place]
-        useful = (idf > 0) & (df[place] > 1)
+        key = np.sort(np.concatenate(ids).astype(np.int64) * self.docs + owner)
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        tf = np.diff(first, append=len(key))
+        term, doc = np.divmod(key[first], self.docs)
+        begin = np.flatnonzero(np.diff(term, prepend=-1))
+        df = np.diff(begin, append=len(term))
+        place, df = np.repeat(np.arange(len(begin)), df), np.repeat(df, df)
+        idf = np.log((self.docs - df + 0.5) / (df + 0.5))
+        useful = (idf > 0) & (df > 1)
         place, doc, tf, idf = place[useful], doc[useful], tf[useful], idf[useful]
         self.doc = doc
         self.weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / length.mean()))
-        self.begin = np.searchsorted(place, np.arange(len(df)))
-        self.end = np.searchsorted(place, np.arange(len(df)), side="right")
-        order = np.argsort(doc, kind="stable")
+        self.begin = np.searchsorted(place, np.arange(len(begin)))
+        self.end = np.searchsorted(place, np.arange(len(begin)), side="right")
+        order = np.argsort(doc.astype(np.uint16 if self.docs < 1 << 16 else np.int64), kind="stable")
         self.terms = np.split(place[order], np.searchsorted(doc[order], np.arange(1, self.docs)))
 
     def scores(self, seed: int) -> np.ndarray:
@@ -106,25 +110,20 @@ def pack_shard(packer: Packer, doc_ids: list, encoded: list[bytes]) -> None:
     """Put every document of a shard into windows, each window's seed choosing among the unused ones."""
     index = Index([np.frombuffer(x, "<u4") for x in encoded])
     unused = np.ones(len(encoded), bool)
+    best = np.zeros(len(encoded))  # scores for the window's seed
     following = 0
-    best = None  # unused documents ranked for the window's seed
-    sequence = -1
-    current = None
     for _ in range(len(encoded)):
-        if current is not None and packer.fill:
-            if packer.sequence != sequence:
-                sequence, best = packer.sequence, index.scores(current)
-            ranked = np.where(unused, best, -1.0)
-            current_next = int(ranked.argmax())
-        else:
+        choice = int(np.where(unused, best, 0.0).argmax())
+        found = unused[choice] and best[choice] > 0
+        if not found:  # no neighbour left: the next document in order becomes the seed
             while not unused[following]:
                 following += 1
-            current_next = following
-        opens = packer.fill == 0 or packer.fill + len(encoded[current_next]) // 4 > packer.window
-        packer.place(doc_ids[current_next], encoded[current_next])
-        unused[current_next] = False
-        if opens or current is None:
-            current = current_next
+            choice = following
+        opens = packer.fill == 0 or packer.fill + len(encoded[choice]) // 4 > packer.window
+        packer.place(doc_ids[choice], encoded[choice])
+        unused[choice] = False
+        if opens or not found:
+            best = index.scores(choice)
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int) -> Iterator[pa.RecordBatch]:
