@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.llm.common import stage_path
+from paywatch.llm.common import stage, stage_path
 
 
 class Rule(NamedTuple):
@@ -129,7 +129,7 @@ def find_secrets(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES)
     """
     ledger.scan(docs, rules)
     paths = docs.select(F.col("doc_id").cast("long").alias("doc_id"), blob_id(F.col("text")).alias("blob"))
-    found = paths.join(ledger.spans(rules), "blob", "left")
+    found = paths.join(stage(ledger.spans(rules), "spans"), "blob", "left")  # stored, so a hot blob on the left can be split
     return found.select("doc_id", F.coalesce(F.col("spans").cast(SPANS), F.array().cast(SPANS)).alias("spans"))
 
 
@@ -149,6 +149,7 @@ def redact(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES) -> Da
     found = found.withColumn("run", F.expr("sum(cast(reach is null or s.start >= reach as int)) over (partition by _blob order by s.start, s.rank)"))
     merged = found.groupBy("_blob", "run").agg(F.min("s.start").alias("start"), F.max("s.end").alias("end"), F.min_by("s.kind", F.struct("s.start", "s.rank")).alias("kind"))
     marks = merged.groupBy("_blob").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("_marks"))
+    marks = stage(marks, "marks")
     joined = docs.withColumn("_key", blob_id(F.col("text"))).join(marks, F.col("_key") == F.col("_blob"), "left")
     index = F.sequence(F.lit(0), F.size("_marks") - 1)
     begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_marks.end"), i - 1))
