@@ -27,8 +27,8 @@ from paywatch.llm.encoding import encoder
 
 MAGIC = b"DAC1"
 RANK_BITS = 512
-IMAGE_TOKENS = 1 << 20
-FILE_BYTES = 32 << 20
+IMAGE_TOKENS = 1 << 18
+FILE_BYTES = 16 << 20
 MAX_FILES = 1 << 16
 END_ID = 1
 FILE = "shard long, image_no long, doc_ids array<long>, doc_tokens array<long>, n_tokens long, image binary"
