@@ -93,3 +93,43 @@ def test_stages_handle_edges(spark, docs, name, function):
         if name == "near_dedup" and n:
             kept = sorted((r.doc_id for r in out.collect() if r.doc_id is not None))
             assert kept == [1, 4, 5, 7, 20] and out.where("doc_id is null").count() == 1
+
+
+def brute_similar(rows):
+    """Smallest id reachable over texts with a 5-word Jaccard similarity of 0.8 or more."""
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+    sets, label = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a == b or 9 * len(a & b) >= 4 * (len(a) + len(b)):
+                label = [label[j] if x == label[i] else x for x in label]
+    least = {}
+    for (i, _), x in zip(rows, label):
+        least[x] = min(i, least.get(x, i))
+    return [least[x] for x in label]
+
+
+@pytest.mark.parametrize("limits", [{}, {"pairs_a_row": 0, "rounds": 3}, {"pairs_a_row": 0, "rounds": 0}])
+def test_similar_texts_are_one_group(spark, docs, limits):
+    """Copies with more and more edits, around a shared passage, so that similarities lie on both sides of 0.8."""
+    from paywatch.llm import similar
+
+    rows = [r for r in EDGES if r[0] is not None]
+    for n in range(8):
+        base = words(900, 60) + words(n, 140)
+        for k in range(9):
+            copy = list(base)
+            for at in range(k):
+                copy[(at * 41 + n) % len(copy)] = f"edit{n}x{k}"
+            rows.append((1000 - 20 * n - k, " ".join(copy + words(300 + k, 3 * k))))
+    rows += [(2000 + n, " ".join(words(901, 180) + words(3000 + n, n))) for n in range(40)]
+    got = similar.similar_groups(docs(rows, **CLASHES), **limits).collect()
+    want = brute_similar(rows)
+    assert Counter(map(tuple, got)) == Counter(zip((i for i, _ in rows), want))
+    assert 20 < len(set(want)) < len(rows) - 40
+    assert similar.similar_groups(docs([])).count() == 0
