@@ -40,7 +40,7 @@ MORE_RULES = (
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE_RULES + MORE_RULES
-HIT = "struct<kind:string,gaps:array<int>,matches:array<int>,values:array<int>>"
+HIT = "struct<rule:string,kind:string,gaps:array<int>,matches:array<int>,values:array<int>>"
 SPANS = "array<struct<start:bigint,rank:bigint,kind:string,end:bigint>>"
 
 
@@ -58,6 +58,7 @@ def _hit(rule: Rule, text: Column) -> Column:
     return F.when(
         text.rlike(rule.pattern),
         F.struct(
+            F.lit(rule.key).alias("rule"),
             F.lit(rule.kind).alias("kind"),
             _lengths(F.split(text, rule.pattern, -1)).alias("gaps"),
             _lengths(F.regexp_extract_all(text, pattern, F.lit(0))).alias("matches"),
@@ -103,15 +104,19 @@ class Ledger:
     def spans(self, rules: Sequence[Rule] = RULES) -> DataFrame:
         """(blob, spans): the findings of these rules, as structs (start, rank, kind, end) in that order.
 
-        Blobs without a finding have no row. Offsets are code points, end exclusive.
+        Hits of other versions of a rule are not read. Blobs without a finding have no row. Offsets are code points,
+        end exclusive.
         """
-        names = [r.kind for r in rules]
-        rank = F.array_position(F.array(*(F.lit(k) for k in names)), F.col("hit.kind"))
-        least = F.element_at(F.create_map(*(x for r in rules for x in (F.lit(r.kind), F.lit(r.least)))), F.col("kind"))
-        keys = F.array(*(F.lit(r.key) for r in rules))
-        hits = self.read().where(F.arrays_overlap("rules", keys)).select("blob", F.explode("hits").alias("hit")).where(F.col("hit.kind").isin(names))
-        each = hits.select("blob", F.col("hit.kind").alias("kind"), rank.alias("rank"), F.posexplode(F.arrays_zip("hit.gaps", "hit.matches", "hit.values")).alias("i", "x"))
-        before = "sum(x.gaps + coalesce(x.matches, 0)) over (partition by blob, kind order by i)"
+        names = [r.key for r in rules]
+        keys = F.array(*(F.lit(k) for k in names))
+        rank = F.array_position(keys, F.col("rule"))
+        least = F.element_at(F.create_map(*(x for r in rules for x in (F.lit(r.key), F.lit(r.least)))), F.col("rule"))
+        hits = self.read().where(F.arrays_overlap("rules", keys)).select("blob", "rules", F.explode("hits").alias("hit"))
+        # Rows of ledgers from before hits had a rule name it in their rules.
+        rule = F.expr("coalesce(hit.rule, get(filter(rules, r -> r like concat(hit.kind, '@%')), 0))")
+        hits = hits.withColumn("rule", rule).where(F.col("rule").isin(names))
+        each = hits.select("blob", "rule", F.col("hit.kind").alias("kind"), rank.alias("rank"), F.posexplode(F.arrays_zip("hit.gaps", "hit.matches", "hit.values")).alias("i", "x"))
+        before = "sum(x.gaps + coalesce(x.matches, 0)) over (partition by blob, rule order by i)"
         placed = each.withColumn("end", F.expr(before)).where(F.col("x.matches").isNotNull() & (F.col("x.values") >= least))
         span = F.struct((F.col("end") - F.col("x.matches")).alias("start"), "rank", "kind", "end")
         return placed.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))

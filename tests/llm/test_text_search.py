@@ -179,6 +179,22 @@ def test_redaction_replaces_every_finding(spark, docs):
     assert sorted(r.text for r in got.where("doc_id < 100 or doc_id is null").collect() if r.text) == sorted(t for _, t in EDGES if t)
 
 
+def test_a_new_rule_version_replaces_the_old_findings(spark, docs):
+    """On a kept ledger only the asked version counts: offsets once, and nothing that the new version drops."""
+    rows = [(1, "password: abcdefghijklmnop and token=qrstuvwxyzabcd, 0123456789abcdef"), (2, "x secret = abcdefghijklmnop"), (3, "clean")]
+    table, ledger = docs(rows), secret_scan.new_ledger(spark)
+    old = secret_scan.find_secrets(table, ledger).collect()
+    newer = [secret_scan.Rule("assign", 2, r"(password|token)[=:] ?([a-z]+)", 2, 12), *secret_scan.RULES[1:]]
+    for rules in (newer, secret_scan.RULES, newer):
+        for kept, new in ((secret_scan.find_secrets(table, lg, rules).collect(), secret_scan.redact(table, lg, rules).collect()) for lg in (ledger,)):
+            own = secret_scan.new_ledger(spark)
+            assert sorted(kept) == sorted(secret_scan.find_secrets(table, own, rules).collect())
+            assert sorted(new) == sorted(secret_scan.redact(table, own, rules).collect())
+    spans = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans] for r in secret_scan.find_secrets(table, ledger, newer).collect()}
+    assert spans == {1: [(0, "assign", 26), (31, "assign", 51), (53, "hex", 69)], 2: [], 3: []}
+    assert len({r.doc_id: r.spans for r in old}[2]) == 1
+
+
 # ---- license notices ----------------------------------------------------------------------------
 
 
