@@ -132,6 +132,14 @@ class _Run:
         self.parts.append(part)
         self.many = self.many or bool(kinds[0] != self.kind or kinds[-1] != kinds[0])
 
+    def release(self) -> Iterator[pa.RecordBatch]:
+        """The rows so far of a run that is known to be repeated; the last one stays, for the edge."""
+        *whole, last = self.parts
+        for part in [*whole, last.slice(0, last.num_rows - 1)]:
+            if part.num_rows:
+                yield _flagged(part, True, self.edge)
+        self.parts = [last.slice(last.num_rows - 1)]
+
     def flush(self, edge: bool) -> Iterator[pa.RecordBatch]:
         if self.many or edge:
             for part in self.parts:
@@ -160,7 +168,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             run.add(batch.slice(0, ends[0]), kind[: ends[0]])
         if goes_on and len(starts) == 1:
             if run.many:  # known to be repeated: nothing to wait for
-                yield from run.flush(run.edge)
+                yield from run.release()
             continue
         yield from run.flush(run.edge)
         inner = np.arange(int(goes_on), len(starts) - 1)
@@ -184,7 +192,9 @@ def across_classes(rows: DataFrame, name: str) -> DataFrame:
     order = ["key", "class", "at"]
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema), "repeated boolean", "edge boolean"])
     out = stage(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_compare, schema), f"{name}-repeated")
-    crossing = out.where("edge").groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("key")
+    # An edge row of a run that is repeated already settles its key, whatever classes the other edge rows have.
+    several = (F.min("class") != F.max("class")) | F.bool_or("repeated")
+    crossing = out.where("edge").groupBy("key").agg(several.alias("several")).where("several").select("key")
     crossed = out.where("edge and not repeated").join(F.broadcast(crossing), "key", "left_semi")
     return out.where("repeated").unionByName(crossed.select(*out.columns)).select(*rows.columns)
 

@@ -320,6 +320,43 @@ def test_runs_that_cross_partitions(spark):
     assert Counter(map(tuple, got)) == Counter(r for r in rows if len(kinds[r[0]]) > 1)
 
 
+def test_a_long_run_that_went_out_early_marks_the_next_partition(spark):
+    """Partition one ends with a key of several classes over three batches; the rest of the key is of one class."""
+    import pyarrow as pa
+
+    def batch(rows):
+        return pa.record_batch([pa.array(x, pa.int64()) for x in zip(*rows)], names=["key", "class", "at"])
+
+    first = [batch([(1, 0, 0), (7, 1, 0), (7, 2, 0)]), batch([(7, 2, i) for i in range(1, 5)]), batch([(7, 3, i) for i in range(5)])]
+    second = [batch([(7, 3, 5), (7, 3, 6)]), batch([(8, 1, 0)])]
+    out = [[r for b in repeats._compare(iter(part)) for r in b.to_pylist()] for part in (first, second)]
+    assert [r for r in out[0] if r["edge"] and r["key"] == 7 and r["repeated"]]
+    assert Counter((r["class"], r["at"]) for r in out[0] if r["key"] == 7) == Counter([(1, 0), *((2, i) for i in range(5)), *((3, i) for i in range(5))])
+    stored = [tuple(r.values()) for part in out for r in part]
+
+    class Stored:
+        """Stands in for the sorted and compared rows, whose partition bounds Spark samples."""
+
+        schema = spark.createDataFrame([], "key long, class long, at int").schema
+        columns = ["key", "class", "at"]
+
+        def repartitionByRange(self, *_):
+            return self
+
+        def sortWithinPartitions(self, *_):
+            return self
+
+        def mapInArrow(self, *_):
+            return spark.createDataFrame(stored, "key long, class long, at long, repeated boolean, edge boolean")
+
+    stage, repeats.stage = repeats.stage, lambda df, name: df
+    try:
+        got = repeats.across_classes(Stored(), "t").collect()
+    finally:
+        repeats.stage = stage
+    assert Counter((r.key, r["class"], r["at"]) for r in got) == Counter((7, c, a) for c, a in [(1, 0), *((2, i) for i in range(5)), *((3, i) for i in range(7))])
+
+
 # ---- language model -----------------------------------------------------------------------------
 
 
