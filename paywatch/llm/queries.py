@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywatch.llm import decontaminate, license_scan, lm_score, packing, phrases, quality, repeats, secret_scan, simhash, token_codes
+from paywatch.llm import (
+    decontaminate,
+    license_scan,
+    lm_score,
+    packing,
+    phrases,
+    quality,
+    repeats,
+    secret_scan,
+    sentence_pieces,
+    simhash,
+    token_codes,
+)
 from paywatch.llm.common import read_documents, stage_path, training_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +146,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.listing(of(*base)).cast("binary"), 256).alias("base_sha256"),
         secret_scan.listing(F.col("spans")).alias("spans"),
     )
+
+
+@register()
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentence_pieces.encode(read_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "agrees",
+    )
