@@ -12,6 +12,7 @@ from paywatch.llm import (
     decontaminate,
     license_scan,
     lm_score,
+    merkle,
     packing,
     phrases,
     quality,
@@ -158,3 +159,51 @@ def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         "agrees",
     )
+
+
+def _crc32(string: str) -> str:
+    """Unsigned CRC-32 of an ASCII string, bit by bit."""
+    bit = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+    step = f"list_reduce([xor(r, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: {bit})"
+    codes = f"list_transform(string_split({string}, ''), lambda s: ascii(s)::bigint)"
+    return f"xor(list_reduce([4294967295] || {codes}, lambda r, b: {step}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = [f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+def _merkle_levels(name: str, nodes: str) -> str:
+    return f"""{name} as ({nodes} union all
+select grp, lvl + 1, pos // 3, sha256(string_agg(d, '' order by pos)), (n + 2) // 3 from {name} where n > 1 group by grp, lvl, pos // 3, n)"""
+
+
+@register(f"""
+with recursive base as (select doc_id, source, {_leaf("text")} as leaf,
+case when {_crc32("doc_id::varchar")} % 2 = 0 then {_leaf("replace(text, chr(10), '')")} else {_leaf("text")} end as told from documents),
+ranked as (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by source) as n from base),
+{_merkle_levels("low", "select source as grp, 0 as lvl, pos, leaf as d, n from ranked")},
+sub as (select grp as source, d as subroot, lvl as height, row_number() over (order by grp nulls first) - 1 as place, count(*) over () as n from low where n = 1),
+{_merkle_levels("top", "select 0 as grp, 0 as lvl, place as pos, subroot as d, n from sub")},
+node as (select place as tree, lvl, pos, d from low join sub on grp is not distinct from source union all select -1, lvl, pos, d from top),
+way as (select doc_id, leaf, told, subroot, pos, place, height, unnest(range(height + (select max(lvl) from top))) as step
+from ranked join sub on ranked.source is not distinct from sub.source),
+step as (select *, case when step < height then pos // (3 ** step)::bigint else place // (3 ** (step - height))::bigint end as spot,
+case when step < height then place else -1 end as tree, case when step < height then step else step - height end as lvl from way),
+side as (select step.doc_id, step.leaf, step.step, coalesce(string_agg(node.d, '' order by node.pos) filter (node.pos < spot), '') as l,
+coalesce(string_agg(node.d, '' order by node.pos) filter (node.pos > spot), '') as r
+from step join node on node.tree = step.tree and node.lvl = step.lvl and node.pos // 3 = spot // 3 group by all),
+path as (select doc_id, leaf, string_agg(l || r, '' order by step) as proof, list(l || '|' || r order by step) as steps from side group by all),
+done as (select ranked.doc_id, ranked.leaf, subroot, (select d from top where n = 1) as root, sha256(coalesce(proof, '')) as proof_sha256,
+list_reduce([told] || coalesce(steps, []), lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) as folded_root
+from ranked join sub on ranked.source is not distinct from sub.source left join path on path.doc_id is not distinct from ranked.doc_id and path.leaf = ranked.leaf)
+select *, folded_root = root as verified from done
+""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    told = F.when(even & F.col("text").contains("\n"), merkle.leaf(F.replace(F.col("text"), F.lit("\n"), F.lit(""))))
+    proofs = merkle.manifest(read_documents(spark, sf_dir), {"told": told}).proofs()
+    folded = merkle.fold(F.coalesce("told", "leaf"), F.col("path"))
+    out = proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
