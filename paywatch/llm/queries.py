@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paywatch.llm import (
+    conversation_trie,
     decontaminate,
     license_scan,
     lm_score,
@@ -207,3 +208,26 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = merkle.fold(F.coalesce("told", "leaf"), F.col("path"))
     out = proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@register(f"""
+with t as (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first) as j,
+struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) as turn from conversations where conv_id is not null),
+c as (select c, count(*) as n, {_crc32("c::varchar")} % 9 as h from t group by c),
+s as (select c.c, n, h, (select count(*) from t where t.c = c.c - c.c % 5 and t.j <= h) as hb from c),
+m as (select s.c, t.j as d, turn from s join t on t.c = s.c - s.c % 5 and t.j <= h
+union all select s.c, hb + t.j - h, turn from s join t on t.c = s.c and t.j > h),
+p as (select c, 0::bigint as d, [] as prefix, 0 as nb from s
+union all select c, d, list(turn) over (partition by c order by d), strlen(turn.text) from m),
+e as (select p.*, d = hb + greatest(n - h, 0) as ends from p join s using (c)),
+v as (select d as depth, prefix, min(c) as conv_id, count(*) as n_convs, any_value(nb) as nb,
+sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) as ends_sha256 from e group by all),
+k as (select child.depth - 1 as depth, prefix[1 : child.depth - 1] as prefix, count(*) as n_children from v child where child.depth > 0 group by all),
+u as (select v.*, coalesce(n_children, 0) as n_children from v left join k on k.depth = v.depth and k.prefix = v.prefix),
+a as (select prefix, depth, n_children, (n_convs - 1) * nb as saved, unnest(range(depth + 1)) as up from u),
+b as (select up as depth, prefix[1 : up] as prefix, count(*) filter (n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens from a group by all)
+select u.conv_id, u.depth, x.conv_id as parent_conv_id, u.n_convs, u.n_children, n_leaves, saved_tokens, u.ends_sha256
+from u join b on b.depth = u.depth and b.prefix = u.prefix left join v x on x.depth = u.depth - 1 and x.prefix = u.prefix[1 : u.depth - 1]
+""")
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
