@@ -19,9 +19,40 @@ SPACE = "▁"
 MEMO_WORDS = 200_000
 # Texts are worked on in groups of about this many characters, a longer one alone.
 GROUP_CHARS = 1 << 20
+SHORT_WORD = 32
+NO_PIECE = float("inf")
 ENCODED = "doc_id long, ids binary, decoded string, agrees boolean"
 
 
+def _word_pattern(pieces: list[str]) -> str:
+    """A pattern for parts of a text that no merge reaches out of.
+
+    Characters that stand side by side in some piece belong together, whatever else they are next to in a text; a
+    piece may start with blanks, and none but a run of blanks goes on past one. A vocabulary with pieces across blanks
+    gets whole texts.
+    """
+    if any(SPACE in p.lstrip(SPACE) for p in pieces):
+        return "(?s).+"
+    root: dict[str, str] = {}
+
+    def find(c: str) -> str:
+        while root.setdefault(c, c) != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    for piece in pieces:
+        body = piece.lstrip(SPACE)
+        if len(piece) > 1 and body:
+            find(body[0])
+            for left, right in zip(body, body[1:]):
+                root[find(left)] = find(right)
+    kinds: dict[str, list[str]] = {}
+    for c in root:
+        kinds.setdefault(find(c), []).append(c)
+    runs = [f"{SPACE}*[{''.join(map(re.escape, sorted(k)))}]+" for k in sorted(kinds.values(), key=len, reverse=True)]
+    return "(?s)" + "|".join([*runs, f"{SPACE}+", "."])
+
+
 class MergeEncoder:
     """Ids of a merge-type model: symbols start as characters, the best-scored adjacent pair merges until none is left."""
 
@@ -35,12 +66,7 @@ class MergeEncoder:
         self._cost = {library.id_to_piece(i): -library.get_score(i) for i in plain}  # least first, as a heap gives it
         self._bytes = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self._falls_back = all(map(library.is_byte, self._bytes))
-        inner = sorted({c for p in self._ids if len(p) > 1 for c in p} - {SPACE})
-        crosses = any(SPACE in p.lstrip(SPACE) for p in self._ids)
-        # No piece but a run of blanks goes on past a blank, and some characters are in no longer piece at all: no
-        # merge reaches over these places. A vocabulary with pieces across blanks gets whole texts.
-        joined = "".join(map(re.escape, inner)) or "\\0"
-        self._words = re.compile(r"(?s).+" if crosses else f"(?s){SPACE}*[{joined}]+|{SPACE}+|.").findall
+        self._words = re.compile(_word_pattern(list(self._ids))).findall
         self._as_is = library.normalize(" a  b\tc ÅÅ ﬁ Ａ\n ") == f"{SPACE} a  b\tc ÅÅ ﬁ Ａ\n ".replace(" ", SPACE)
         self._now: dict[str, bytes] = {}
         self._before: dict[str, bytes] = {}
@@ -52,10 +78,29 @@ class MergeEncoder:
         return SPACE + text.replace(" ", SPACE) if text else text
 
     def merge(self, word: str) -> list[str]:
-        """The pieces of a word.
-
-        The agenda holds adjacent pairs that form a piece, by score, leftmost first. An entry is out of date when one
-        of its symbols has been merged away or has grown since. n characters cost O(n log n).
+        """The pieces of a word: pairs that form a piece merge by score, leftmost first."""
+        return self._merge_short(word) if len(word) <= SHORT_WORD else self._merge_long(word)
+
+    def _merge_short(self, word: str) -> list[str]:
+        """The agenda is the list of the costs of all adjacent pairs; its least entry is looked up."""
+        symbols, cost = list(word), self._cost.get
+        agenda = [cost(a + b, NO_PIECE) for a, b in zip(symbols, symbols[1:])]
+        while agenda and (least := min(agenda)) is not NO_PIECE:
+            at = agenda.index(least)
+            piece = symbols[at] + symbols[at + 1]
+            symbols[at : at + 2] = [piece]
+            del agenda[at]
+            if at:
+                agenda[at - 1] = cost(symbols[at - 1] + piece, NO_PIECE)
+            if at < len(agenda):
+                agenda[at] = cost(piece + symbols[at + 1], NO_PIECE)
+        return symbols
+
+    def _merge_long(self, word: str) -> list[str]:
+        """The agenda is a heap of pairs that form a piece.
+
+        An entry is out of date when one of its symbols has been merged away or has grown since. n characters cost
+        O(n log n).
         """
         symbols, cost = list(word), self._cost
         last = len(symbols) - 1

@@ -41,6 +41,18 @@ def test_pieces_come_best_score_first_then_leftmost():
     assert own.merge("\n\n") == ["\n", "\n"]
 
 
+@given(st.text(alphabet="▁abcehinort.,;日本é\n1", max_size=40))
+def test_both_agendas_agree(word):
+    own = sentence_pieces.encoder(PATH)
+    assert own._merge_short(word) == own._merge_long(word)
+
+
+def test_words_are_cut_where_no_piece_goes_on():
+    cut = sentence_pieces.re.compile(sentence_pieces._word_pattern(["ab", "bc", "▁x", "▁▁", "..", "q"])).findall
+    assert cut("▁▁abc..xq▁▁ab▁") == ["▁▁abc", "..", "x", "q", "▁▁ab", "▁"]
+    assert sentence_pieces.re.compile(sentence_pieces._word_pattern(["a▁b"])).findall("a▁b\nc") == ["a▁b\nc"]
+
+
 def test_rows(docs, spark):
     table = docs(EDGES, **CLASHES)
     got = sentence_pieces.encode(table, PATH).collect()
