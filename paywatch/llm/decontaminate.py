@@ -76,3 +76,16 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = SHINGLE, threshold: float
     both = F.col("doc_id").eqNullSafe(F.col("c_doc")) & F.col("item_id").eqNullSafe(F.col("c_item"))
     sure = exact.join(candidates.select(F.col("doc_id").alias("c_doc"), F.col("item_id").alias("c_item")), both, "left_semi")
     return sure.select("doc_id", "item_id", "n_item", "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment"))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, n: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of a documents table, with all their columns, whose text holds no item.
+
+    Rows are judged by their text, so rows of one doc_id with different texts are judged apart, and copies are looked
+    up once. Null and empty texts stay, rows without a doc_id are judged like any other, repeated rows go or stay
+    together. An empty table gives an empty result. Columns may have any names. A very long text costs its shingles.
+    """
+    found = leaks(docs.select(F.xxhash64("text").alias("doc_id"), "text"), items, n, threshold)
+    leaky = stage(found.select(F.col("doc_id").alias("leak")).distinct(), "leaky")
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(sized(leaky), F.xxhash64("row.text") == F.col("leak"), "left_anti").select("row.*")

@@ -115,6 +115,8 @@ class Ledger:
         # Rows of ledgers from before hits had a rule name it in their rules.
         rule = F.expr("coalesce(hit.rule, get(filter(rules, r -> r like concat(hit.kind, '@%')), 0))")
         hits = hits.withColumn("rule", rule).where(F.col("rule").isin(names))
+        # Two runs at once may both have recorded a blob: their hits are the same and count once.
+        hits = hits.groupBy("blob", "rule").agg(F.any_value("hit").alias("hit"))
         each = hits.select("blob", "rule", F.col("hit.kind").alias("kind"), rank.alias("rank"), F.posexplode(F.arrays_zip("hit.gaps", "hit.matches", "hit.values")).alias("i", "x"))
         before = "sum(x.gaps + coalesce(x.matches, 0)) over (partition by blob, rule order by i)"
         placed = each.withColumn("end", F.expr(before)).where(F.col("x.matches").isNotNull() & (F.col("x.values") >= least))
@@ -146,25 +148,30 @@ def listing(spans: Column) -> Column:
 def redact(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The same rows and columns, with every finding in `text` replaced by [kind] and n_chars, if there, renewed.
 
-    Findings that overlap are replaced together, under the kind of the first.
+    Findings that overlap are replaced together, under the kind of the first. Null and empty texts stay as they are,
+    repeated rows are redacted alike, an empty table gives an empty result. Columns may have any names.
     """
     ledger.scan(docs, rules)
-    found = ledger.spans(rules).select(F.col("blob").alias("_blob"), F.explode("spans").alias("s"))
-    found = found.withColumn("reach", F.expr("max(s.end) over (partition by _blob order by s.start, s.rank rows between unbounded preceding and 1 preceding)"))
-    found = found.withColumn("run", F.expr("sum(cast(reach is null or s.start >= reach as int)) over (partition by _blob order by s.start, s.rank)"))
-    merged = found.groupBy("_blob", "run").agg(F.min("s.start").alias("start"), F.max("s.end").alias("end"), F.min_by("s.kind", F.struct("s.start", "s.rank")).alias("kind"))
-    marks = merged.groupBy("_blob").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("_marks"))
+    found = ledger.spans(rules).select("blob", F.explode("spans").alias("s"))
+    found = found.withColumn("reach", F.expr("max(s.end) over (partition by blob order by s.start, s.rank rows between unbounded preceding and 1 preceding)"))
+    found = found.withColumn("run", F.expr("sum(cast(reach is null or s.start >= reach as int)) over (partition by blob order by s.start, s.rank)"))
+    merged = found.groupBy("blob", "run").agg(F.min("s.start").alias("start"), F.max("s.end").alias("end"), F.min_by("s.kind", F.struct("s.start", "s.rank")).alias("kind"))
+    marks = merged.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("marks"))
     marks = stage(marks, "marks")
-    joined = docs.withColumn("_key", blob_id(F.col("text"))).join(marks, F.col("_key") == F.col("_blob"), "left")
-    index = F.sequence(F.lit(0), F.size("_marks") - 1)
-    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_marks.end"), i - 1))
+    rows = docs.select(F.struct("*").alias("row"), blob_id(F.col("text")).alias("key"))
+    joined = rows.join(marks, F.col("key") == F.col("blob"), "left")
+    old = F.col("row.text")
+    index = F.sequence(F.lit(0), F.size("marks") - 1)
+    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("marks.end"), i - 1))
     piece = lambda i: F.concat(
-        F.substring(F.col("text"), begin(i).cast("int") + 1, (F.get(F.col("_marks.start"), i) - begin(i)).cast("int")),
-        F.lit("["), F.get(F.col("_marks.kind"), i), F.lit("]"),
+        F.substring(old, begin(i).cast("int") + 1, (F.get(F.col("marks.start"), i) - begin(i)).cast("int")),
+        F.lit("["), F.get(F.col("marks.kind"), i), F.lit("]"),
     )
-    tail = F.substring(F.col("text"), F.element_at(F.col("_marks.end"), -1).cast("int") + 1, F.length("text"))
-    text = F.when(F.col("_marks").isNull(), F.col("text")).otherwise(F.concat(F.array_join(F.transform(index, piece), ""), tail))
-    out = joined.withColumn("text", text)
+    tail = F.substring(old, F.element_at(F.col("marks.end"), -1).cast("int") + 1, F.length(old))
+    text = F.when(F.col("marks").isNull(), old).otherwise(F.concat(F.array_join(F.transform(index, piece), ""), tail))
+    joined = joined.select("row", F.col("marks").isNotNull().alias("marked"), text.alias("new"))
+    now = {"text": F.col("new")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_marks").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        renewed = F.length("new").cast(docs.schema["n_chars"].dataType)
+        now["n_chars"] = F.when(F.col("marked"), renewed).otherwise(F.col("row.n_chars"))
+    return joined.select(*(now.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

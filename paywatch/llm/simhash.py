@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paywatch.llm.common import runs_of, stage, texts, utf8
+from paywatch.llm.common import runs_of, sized, stage, texts, utf8
 from paywatch.llm.graph import components
 
 RADIUS = 3
@@ -182,3 +182,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     named = distinct.join(groups, distinct.rep == groups.node, "left").select("fp", F.coalesce("root", "rep").alias("least"))
     component = F.when(F.col("least") < UNNAMED, F.col("least")).alias("component_id")
     return table.join(named, "fp", "left").select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), component)
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The rows of a documents table, with all their columns, one for each near-duplicate group: the smallest doc_id.
+
+    Groups are those of `near_duplicates`, but of rows: two texts under one doc_id are two rows and stay apart unless
+    their fingerprints link. Of several rows with a group's smallest doc_id one stays, chosen by a hash of the text;
+    equal rows are interchangeable. Null, empty and blank texts are one group. A row without a doc_id cannot be
+    named in a group and stays. An empty table gives an empty result. Columns may have any names.
+    """
+
+    @F.arrow_udf("long")
+    def named(text: pa.Array) -> pa.Array:
+        return pa.array([fingerprint(t, shingle) for t in utf8(text)], pa.int64())
+
+    held = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key"))
+    table = stage(held.withColumn("fp", named(F.coalesce("row.text", F.lit("")))), "near-rows")
+    distinct = stage(table.select("fp").distinct().select("fp", F.col("fp").alias("rep")), "distinct")
+    groups = stage(components(near_links(distinct, radius)), "groups")
+    rows = table.select("key", "fp", F.col("row.doc_id").alias("id"), F.xxhash64("row.text").alias("h"))
+    rows = rows.join(sized(groups), F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+    first = rows.where("id is not null").groupBy("root").agg(F.min_by("key", F.struct("id", "h", "key")).alias("key")).select("key")
+    kept = stage(first.unionByName(rows.where("id is null").select("key")), "kept")
+    return table.join(sized(kept), "key", "left_semi").select("row.*")
