@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from paywatch.llm import decontaminate, packing, quality, secret_scan, similar
+from paywatch.llm import decontaminate, packing, quality, secret_scan, simhash
 from paywatch.llm.common import read_documents, stage
 
 
@@ -17,22 +16,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id; rows of one id are one document.
-
-    Texts whose 5-word shingles have a similarity of 0.8 or more are near duplicates. A row without an id cannot be
-    named in a group and stays.
-    """
-    groups = similar.similar_groups(docs)
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct()
-    once = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    kept = once.join(keep, F.col("doc_id") == F.col("keep_id"), "left_semi")
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One document of each SimHash group stays, the one with the smallest id; a row without an id stays."""
+    return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    leaks = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("leak_id")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("leak_id")), "left_anti")
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
