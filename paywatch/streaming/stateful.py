@@ -3,7 +3,8 @@
 Rows wait in keyed state until the watermark has passed them, then they are worked off in
 (timestamp, id) order, so late rows inside the allowed delay change nothing. State per user is
 bounded by the delay (waiting rows) and the trailing window (counts per time bucket and the times
-inside a bucket); the micro-batch limits of the source bound what one task receives for a user.
+inside a bucket); the micro-batch limits of the source bound what one task receives for a user. With a
+time to live, what a user or a device that stays away longer has left in state is removed.
 """
 
 from __future__ import annotations
@@ -19,34 +20,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from paywatch.functions.columns import micros
+from paywatch.functions.columns import cents, flag, micros
 from paywatch.operators.features import HOUR, SLICES_PER_WINDOW
 
 # The processor travels with the query, so workers need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OUTPUT = (
-    "user_id long, transaction_id long, is_new_device int, previous_location string, "
-    "location_change int, time_since_last_txn double, velocity long"
+    "user_id long, transaction_id long, location string, last_location string, prior_rows long, prior_cents long, "
+    "is_new_device int, time_since_last_txn double, velocity long"
 )
-WAITING = "us array<long>, id array<long>, device array<string>, location array<string>"
+WAITING = "us array<long>, id array<long>, device array<string>, location array<string>, priced array<int>, cents array<long>"
 MINUTE = 60_000_000
-INPUT = ["user_id", "transaction_id", "timestamp", "device_type", "location"]
+INPUT = ["user_id", "transaction_id", "timestamp", "device_type", "location", "amount"]
+ROW = ["us", "transaction_id", "device_type", "location", "priced", "cents"]
 
 
 class UserFeatures(StatefulProcessor):
-    """Last location and time, devices seen, and the trailing count of one user."""
+    """Last location and time, running amounts, devices seen, and the trailing count of one user.
 
-    def __init__(self, window_seconds: int = HOUR, buckets: int = SLICES_PER_WINDOW):
+    ``ttl_seconds`` is a time to live in event time: a user who has had no row for longer starts anew, and a device
+    not seen for longer is new again. That holds exactly, row by row; removing what has run out is done by timers
+    once the watermark has passed it, at most one pending per user.
+    """
+
+    def __init__(self, window_seconds: int = HOUR, buckets: int = SLICES_PER_WINDOW, ttl_seconds: int | None = None):
+        if ttl_seconds is not None and ttl_seconds < window_seconds:
+            raise ValueError("state must live as long as the trailing window")
         self.width = window_seconds * 1_000_000 // buckets
         self.buckets = buckets
         self.span = self.width * buckets
+        self.ttl = None if ttl_seconds is None else ttl_seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "minute long", WAITING)
         self.last = handle.getValueState("last", "us long, location string")
-        self.devices = handle.getMapState("devices", "device string", "seen boolean")
+        self.amounts = handle.getValueState("amounts", "priced long, cents long")
+        self.sweep = handle.getValueState("sweep", "us long")
+        self.devices = handle.getMapState("devices", "device string", "us long")
         self.counts = handle.getMapState("counts", "bucket long", "n long")
         self.times = handle.getMapState("times", "bucket long", "us array<long>")
 
@@ -54,9 +66,7 @@ class UserFeatures(StatefulProcessor):
         new = pd.concat(list(rows), ignore_index=True)
         if len(new):
             for minute, part in new.groupby(new["us"] // MINUTE):
-                held = self._held(int(minute)) + list(zip(
-                    part["us"].tolist(), part["transaction_id"].tolist(), part["device_type"].tolist(), part["location"].tolist()
-                ))
+                held = self._held(int(minute)) + list(zip(*(part[c].tolist() for c in ROW)))
                 self._hold(int(minute), held)
             self._wake_after(int(new["us"].min()))
         return iter([])
@@ -82,6 +92,26 @@ class UserFeatures(StatefulProcessor):
             self._wake_after(later[0][0] if later else min(r[0] for r in self._held(minutes[len(due)])))
         if ready:
             yield self._features(key[0], ready)
+        if self.ttl is not None:
+            self._expire(upto)
+
+    def _expire(self, upto: int) -> None:
+        """Remove what has run out before ``upto``, and come back when the next of it may have."""
+        if self.sweep.exists():
+            if self.sweep.get()[0] > upto:
+                return
+            self.sweep.clear()
+        if not self.last.exists():
+            return
+        if self.last.get()[0] + self.ttl < upto and not list(self.waiting.keys()):
+            for state in (self.last, self.amounts, self.devices, self.counts, self.times):
+                state.clear()
+            return
+        for device in [k[0] for k, v in self.devices.iterator() if v[0] + self.ttl < upto]:
+            self.devices.removeKey((device,))
+        due = max(self.last.get()[0], upto) + self.ttl
+        self.sweep.update((due,))
+        self._wake_after(due)
 
     def _held(self, minute: int) -> list[tuple]:
         """Waiting rows of one minute; a state map holds them as parallel arrays."""
@@ -92,35 +122,41 @@ class UserFeatures(StatefulProcessor):
 
     def _features(self, user: int, rows: list[tuple]) -> pd.DataFrame:
         us = np.array([r[0] for r in rows], dtype="int64")
-        location = [r[3] for r in rows]
         last = self.last.get() if self.last.exists() else None
-        before_us = np.concatenate(([last[0] if last else us[0]], us[:-1]))
-        before_location = [last[1] if last else None, *location[:-1]]
-        gap = (us - before_us) / 60_000_000.0
-        out = pd.DataFrame({
+        priced, cents_ = self.amounts.get() if self.amounts.exists() else (0, 0)
+        before, gap, prior = [], [], []
+        for at, _, _, location, has_amount, amount in rows:
+            if last is not None and self.ttl is not None and at - last[0] > self.ttl:
+                last, priced, cents_ = None, 0, 0
+            before.append(None if last is None else last[1])
+            gap.append(0 if last is None else at - last[0])
+            prior.append((priced, cents_))
+            last = (at, location)
+            priced, cents_ = priced + has_amount, cents_ + amount
+        self.last.update(last)
+        self.amounts.update((priced, cents_))
+        return pd.DataFrame({
             "user_id": user,
             "transaction_id": [r[1] for r in rows],
-            "is_new_device": self._are_new([r[2] for r in rows]),
-            "previous_location": before_location,
-            "location_change": [
-                int(b is not None and a is not None and a != b) for a, b in zip(location, before_location)
-            ],
-            "time_since_last_txn": np.floor(gap * 100 + 0.5) / 100,
+            "location": [r[3] for r in rows],
+            "last_location": before,
+            "prior_rows": [p[0] for p in prior],
+            "prior_cents": [p[1] for p in prior],
+            "is_new_device": self._are_new([(r[2], r[0]) for r in rows]),
+            "time_since_last_txn": np.floor(np.array(gap) / 60_000_000.0 * 100 + 0.5) / 100,
             "velocity": self._trailing(us),
         })
-        self.last.update((int(us[-1]), location[-1]))
-        return out
 
-    def _are_new(self, devices: list[str | None]) -> list[int]:
+    def _are_new(self, devices: list[tuple[str | None, int]]) -> list[int]:
         """Which rows show a device for the first time; a missing one is a device of its own, unlike ""."""
-        keys = ["-" if d is None else "+" + d for d in devices]
-        known = {k for k in dict.fromkeys(keys) if self.devices.containsKey((k,))}
+        keys = ["-" if d is None else "+" + d for d, _ in devices]
+        seen = {k: self.devices.getValue((k,))[0] for k in dict.fromkeys(keys) if self.devices.containsKey((k,))}
         fresh = []
-        for k in keys:
-            fresh.append(int(k not in known))
-            if fresh[-1]:
-                known.add(k)
-                self.devices.updateValue((k,), (True,))
+        for k, (_, at) in zip(keys, devices):
+            fresh.append(int(k not in seen or (self.ttl is not None and at - seen[k] > self.ttl)))
+            seen[k] = at
+        for k, at in seen.items():
+            self.devices.updateValue((k,), (at,))
         return fresh
 
     def _trailing(self, us: np.ndarray) -> np.ndarray:
@@ -162,27 +198,58 @@ class UserFeatures(StatefulProcessor):
         pass
 
 
-def stream_features(txns: DataFrame, delay: str = "10 minutes", window_seconds: int = HOUR) -> DataFrame:
+def stream_features(
+    txns: DataFrame,
+    delay: str = "10 minutes",
+    window_seconds: int = HOUR,
+    profile: DataFrame | None = None,
+    ttl_seconds: int | None = None,
+) -> DataFrame:
     """Streaming form of the user features that look back; needs a timestamp with time zone.
 
-    A first row has no previous location here: the home location is only known from the whole table.
-    Rows without a user or a time have no history: they are never keyed and pass at once, standing alone.
+    ``profile`` is a stored table as ``user_profile`` gives it: it tells the home location, which a user's first row
+    has as its previous one, and the user's average. Without it a first row has no previous location and there is no
+    ``user_avg``. Rows without a user or a time have no history: they are never keyed and pass at once, standing
+    alone. With ``ttl_seconds`` state is removed, see ``UserFeatures``.
     """
     placed = F.col("user_id").isNotNull() & F.col("timestamp").isNotNull()
+    money = cents(F.col("amount"))
     alone = txns.filter(~placed).select(
         "user_id",
         "transaction_id",
         F.lit(1).alias("is_new_device"),
-        F.lit(None).cast("string").alias("previous_location"),
+        F.col("location").alias("previous_location"),
         F.lit(0).alias("location_change"),
         F.lit(0.0).alias("time_since_last_txn"),
         F.lit(1).cast("long").alias("velocity"),
+        F.lit(None).cast("double").alias("prior_avg"),
+        *([(money / F.lit(100.0)).alias("user_avg")] if profile is not None else []),
     )
-    rows = txns.select(*INPUT).filter(placed).withWatermark("timestamp", delay).withColumn("us", micros(F.col("timestamp")))
+    rows = txns.select(*INPUT).filter(placed).withWatermark("timestamp", delay).withColumns({
+        "us": micros(F.col("timestamp")), "priced": money.isNotNull().cast("int"), "cents": F.coalesce(money, F.lit(0)),
+    }).drop("amount")
     keyed = rows.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=UserFeatures(window_seconds),
+        statefulProcessor=UserFeatures(window_seconds, ttl_seconds=ttl_seconds),
         outputStructType=OUTPUT,
         outputMode="Append",
         timeMode="EventTime",
     )
-    return keyed.unionByName(alone)
+    previous = F.col("last_location")
+    known = []
+    if profile is not None:
+        homes = profile.select(F.col("user_id").alias("_user"), F.col("home_location").alias("_home"), F.col("avg_amount").alias("user_avg"))
+        keyed = keyed.join(homes, keyed["user_id"] == homes["_user"], "left")
+        previous = F.coalesce(previous, "_home")
+        known = ["user_avg"]
+    full = keyed.withColumn("previous_location", previous).select(
+        "user_id",
+        "transaction_id",
+        "is_new_device",
+        "previous_location",
+        flag(F.col("location") != F.col("previous_location")).alias("location_change"),
+        "time_since_last_txn",
+        "velocity",
+        F.when(F.col("prior_rows") > 0, F.col("prior_cents") / (F.col("prior_rows") * F.lit(100.0))).alias("prior_avg"),
+        *known,
+    )
+    return full.unionByName(alone)

@@ -183,7 +183,7 @@ def test_stateful_features_equal_batch(spark, labelled, tmp_path):
     (folder / "f4.json").write_text(flush)
     run()
 
-    columns = ["transaction_id", "is_new_device", "time_since_last_txn", "velocity"]
+    columns = ["transaction_id", "is_new_device", "time_since_last_txn", "velocity", "prior_avg"]
     base = fixture.events_as_txns(spark, SMALL)
     batch = features.user_features(base, day)
     got = spark.read.parquet(out)
@@ -193,3 +193,64 @@ def test_stateful_features_equal_batch(spark, labelled, tmp_path):
     later = got.filter("previous_location is not null")
     assert later.select(moved).exceptAll(batch.select(moved)).count() == 0
     assert got.count() - later.count() == base.select("user_id").distinct().count()
+
+
+def stream_of(spark, folder, parts, transform, out, mode="append"):
+    """Deliver tables of transactions one after the other, each to a restarted query; the last progress of each."""
+    progress = []
+    for n, part in enumerate(parts):
+        part.write.parquet(f"{folder}/in/{n}")
+        raw = spark.readStream.schema(part.schema).parquet(f"{folder}/in/*")
+        writer = transform(raw).writeStream.outputMode(mode).format("parquet").option("path", out)
+        query = jobs.start(writer, f"{folder}/cp", None)
+        query.awaitTermination()
+        progress.append(query.recentProgress[-1])
+    return progress
+
+
+FLUSH = (None, -1, 10**8, 1.0, None, None)
+
+
+@pytest.mark.parametrize("with_profile", [True, False])
+def test_first_rows_have_the_home_location(spark, txns, tmp_path, with_profile):
+    """Homes and averages from stored profiles; rows without user, time, amount or place; a last row without a place."""
+    rows = [(1, 7, 0, 10.0, "a", "x"), (2, 7, 5, None, "a", None), (3, 7, 9, 20.0, "b", "y"), (4, 7, 11, 1.5, None, "y"),
+            (5, 8, 1, 4.0, "a", None), (6, None, 3, 5.0, "a", "z"), (7, 8, None, 6.0, "a", "q"), (8, 8, 700, 7.0, "", "q")]
+    base = txns(rows)
+    profile = features.user_profile(base) if with_profile else None
+    stream_of(spark, tmp_path, [base, txns([FLUSH])], lambda raw: stateful.stream_features(raw, "1 day", 3600, profile), str(tmp_path / "out"))
+    shown = ["transaction_id", "prior_avg", "is_new_device", "time_since_last_txn", "velocity"]
+    got = spark.read.parquet(str(tmp_path / "out"))
+    batch = features.user_features(base, 3600)
+    if with_profile:
+        shown += ["previous_location", "location_change"]
+        assert got.filter("user_avg is null").count() == 0
+        kept = got.filter("transaction_id != 7").select("transaction_id", "user_avg")
+        known = {r.user_id: r.avg_amount for r in profile.collect()}
+        assert {r.transaction_id: r.user_avg for r in kept.collect()} == {1: known[7], 2: known[7], 3: known[7], 4: known[7], 5: known[8], 6: 5.0, 8: known[8]}
+    assert sorted(map(tuple, got.select(shown).collect())) == sorted(map(tuple, batch.select(shown).collect()))
+
+
+def test_state_is_removed_after_its_time_to_live(spark, txns, tmp_path):
+    """Users who stay away lose their state; inside the time to live all answers are those of an unlimited one."""
+    hour = 60
+    first = [(i, i, i % 50, 1.0 + i, "ab"[i % 2], "x") for i in range(40)]
+    second = [(100 + i, i % 5, 5 * hour + i, 2.0, "ab"[i % 2], "y") for i in range(10)]
+    third = [(200, 1, 9 * hour, 3.0, "a", "z"), (201, 39, 9 * hour, 3.0, "a", "z")]
+    parts = [txns(p) for p in (first, second, third, [FLUSH])]
+    ends = {}
+    for name, ttl in (("short", 6 * 3600), ("none", None)):
+        folder = tmp_path / name
+        ends[name] = stream_of(spark, folder, parts, lambda raw: stateful.stream_features(raw, "10 minutes", 3600, None, ttl), str(folder / "out"))
+    rows = {n: [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in ends[n]] for n in ends}
+    assert rows["short"][2] < rows["none"][2] and rows["short"][3] <= 8 < rows["none"][3]
+    got = {n: {r.transaction_id: r for r in spark.read.parquet(str(tmp_path / n / "out")).collect()} for n in ends}
+    assert len(got["short"]) == len(got["none"]) == 52
+    for i, row in got["short"].items():
+        if i != 201:
+            assert row == got["none"][i]
+    # User 39 was away for more than six hours and starts anew; user 1 was not.
+    assert got["short"][201].is_new_device == 1 and got["short"][201].prior_avg is None and got["short"][201].time_since_last_txn == 0.0
+    assert got["none"][201].prior_avg == 40.0 and got["short"][200].is_new_device == 0
+    with pytest.raises(ValueError):
+        stateful.UserFeatures(3600, ttl_seconds=60)
