@@ -46,6 +46,7 @@ NARROW_COLUMNS = [
 NARROW_SCHEMA = T.StructType([MESSAGE_SCHEMA[c] for c in NARROW_COLUMNS])
 
 LABEL = "is_fraud"
+RUN_COUNTERS = "run_counters"  # name of the metrics a scoring stream observes
 # Columns that are not model inputs.
 NON_FEATURES = ["transaction_id", "timestamp", "previous_location", LABEL]
 FEATURES = [c for c in TXN_COLUMNS if c not in NON_FEATURES]

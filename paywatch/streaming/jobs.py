@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -21,6 +21,7 @@ from paywatch.operators.models import RiskModels
 from paywatch.operators.project import fill_zero, over_threshold, rule_hit
 from paywatch.sources.messages import checked, decode, quarantine, readable, typed
 from paywatch.sources.schema import MESSAGE_SCHEMA, NARROW_SCHEMA, RULE_AMOUNT, TRIGGER
+from paywatch.streaming.counters import observed
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,17 @@ def narrow_transactions(raw: DataFrame) -> DataFrame:
     return typed(readable(decode(raw, checked(NARROW_SCHEMA))))
 
 
+def once(rows: DataFrame, within: str, key: str = "transaction_id") -> DataFrame:
+    """Rows of a stream without repetitions: of several with one id the first, if the others come within the delay.
+
+    A producer that sends at least once repeats messages. Ids are kept in state until the watermark, ``within`` behind
+    the newest time seen, has passed the first one's time; state is bounded by the rows of that span. A row without
+    a time cannot be placed in it and passes.
+    """
+    timed = rows.filter("timestamp is not null").withWatermark("timestamp", within).dropDuplicatesWithinWatermark([key])
+    return timed.unionByName(rows.filter("timestamp is null"))
+
+
 def start(
     writer: DataStreamWriter, checkpoint: str, trigger: str | None = TRIGGER, name: str | None = None
 ) -> StreamingQuery:
@@ -62,16 +74,16 @@ def alert_sink(path: str, threshold: float) -> Callable[[DataFrame, int], None]:
     """Per micro-batch: rows above the threshold with batch id, batch size and one detection time."""
 
     def write(scored: DataFrame, batch_id: int) -> None:
-        total = scored.count()  # pruned to decoding, no model runs
-        if total == 0:
-            return
-        alerts = over_threshold(scored, threshold).withColumns({
-            "pipeline_detected_at": F.lit(datetime.now(timezone.utc)),
-            "total_batch_txns": F.lit(total).cast("long"),
-        }).persist()
+        # One pass over the batch: it is scored and counted while the few alerts are found.
+        seen = Observation()
+        counted = scored.observe(seen, F.count(F.lit(1)).alias("rows"))
+        alerts = over_threshold(counted, threshold).persist()
         try:
             if alerts.count():
-                alerts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+                alerts.withColumns({
+                    "pipeline_detected_at": F.lit(datetime.now(timezone.utc)),
+                    "total_batch_txns": F.lit(seen.get["rows"]).cast("long"),
+                }).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
             alerts.unpersist()
 
@@ -79,10 +91,16 @@ def alert_sink(path: str, threshold: float) -> Callable[[DataFrame, int], None]:
 
 
 def score_stream(
-    raw: DataFrame, models: RiskModels, paths: RunPaths, trigger: str | None = TRIGGER
+    raw: DataFrame, models: RiskModels, paths: RunPaths, trigger: str | None = TRIGGER, same_within: str | None = None
 ) -> StreamingQuery:
-    """Messages in, alert table out."""
-    scored = models.score(transactions(raw))
+    """Messages in, alert table out. Rows and alerts are observed, see ``counters``.
+
+    ``same_within`` is how late the same message may come again and still be scored once, see ``once``.
+    """
+    rows = transactions(raw)
+    if same_within is not None:
+        rows = once(rows, same_within)
+    scored = observed(models.score(rows), F.col("fraud_score") > models.threshold)
     writer = scored.writeStream.foreachBatch(alert_sink(paths.of("alerts"), models.threshold))
     return start(writer, paths.checkpoint("alerts"), trigger)
 
