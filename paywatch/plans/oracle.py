@@ -360,11 +360,18 @@ SELECT counts.*, a.alert_count, a.alert_ids FROM counts JOIN (
   count(*) FILTER (is_fraud = 1) AS actual, count(*) FILTER (amount <= 100 AND is_fraud = 1) AS missed FROM feat"""
     q["t10_stream_window"] = """SELECT epoch_us(date_trunc('hour', ts)) AS window_start_us, count(*) AS alert_count
 FROM events WHERE value > 100 GROUP BY ALL"""
-    q["t11_stream_features"] = f"""WITH {USER}, numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp, transaction_id) AS n FROM usr)
-SELECT user_id, transaction_id, is_new_device, CASE WHEN n > 1 THEN previous_location END AS previous_location,
-  CASE WHEN n > 1 THEN location_change ELSE 0 END AS location_change, time_since_last_txn, velocity
-FROM numbered"""
+    q["t11_stream_features"] = q["f5_f11_sliced"]
+    q["f5_f11_heavy"] = q["f5_f11_sliced"]
+    q["f1_user_profile_merged"] = q["f1_user_profile"]
+    q["t8_stream_latest10"] = q["t8_latest10"]
+    q["t9_stream_snapshot"] = q["t9_snapshot"]
+    q["s8_redelivery"] = f"WITH {RAW} SELECT transaction_id, amount FROM raw"
+    # Every part of a stream that holds the ids of one remainder is one micro-batch.
+    q["s15_run_counters"] = f"""WITH {SCORED} SELECT transaction_id % 4 AS batch_id, count(*) AS rows,
+  count(*) FILTER (fraud_score > 0.5::DOUBLE) AS alerts, true AS has_rate FROM scored GROUP BY ALL"""
+    in_parts = "ORDER BY transaction_id % 4, h, transaction_id"
+    q["p9_stream_ids"] = f"""WITH {RAW} SELECT 199999 + row_number() OVER ({in_parts}) AS transaction_id,
+  transaction_id AS source_id FROM ({_hash("raw", "transaction_id")})"""
     q["t12_canary_recall"] = f"""WITH {REPLAY},
 flagged AS (
   SELECT hit, 0.5::DOUBLE * (({RISK} + 0.15::DOUBLE * ((source_id % 1000 * 7919) % 1000) / 1000.0::DOUBLE) / 1.15::DOUBLE)
@@ -373,6 +380,8 @@ flagged AS (
 SELECT count(*) AS canaries, count(*) FILTER (flag) AS flagged,
   coalesce(CAST(count(*) FILTER (flag) AS DOUBLE) / nullif(count(*), 0), 0.0::DOUBLE) AS recall FROM flagged WHERE hit"""
 
+    q["t12_stream_recall"] = q["t12_canary_recall"].replace("ORDER BY h, transaction_id", in_parts)
+
     q["v1_latest_alert"] = f"WITH {ALERTS} SELECT transaction_id, fraud_score, {SYSTEM} FROM alerts ORDER BY pipeline_detected_at DESC, transaction_id LIMIT 1"
     q["v2_latest_batch"] = f"WITH {ALERTS} SELECT transaction_id, batch_id, amount, fraud_score FROM latest"
     q["v3_latest_summary"] = f"""WITH {ALERTS} SELECT CASE WHEN count(*) = 0 THEN 'empty' ELSE 'success' END AS status,

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paywatch.functions.columns import micros
-from paywatch.operators import batches, encode, evaluate, features, project, sampling, serving
+from paywatch.operators import batches, encode, evaluate, features, heavy, profiles, project, sampling, serving
 from paywatch.operators.ensemble import ensemble
 from paywatch.operators.models import RiskModels, apply_model, fit_boost, fit_forest, fit_models, serving_models
 from paywatch.session import apply_settings, cut_lineage, storage_dir
 from paywatch.sources import fixture, messages, schema
-from paywatch.streaming import jobs, stateful
+from paywatch.streaming import counters, jobs, live, replay, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -88,7 +88,8 @@ def _messages(spark, sf):
 
 @query
 def s6_narrow_decode(spark, sf):
-    return messages.decode(_messages(spark, sf), schema.NARROW_SCHEMA)
+    rows = messages.decode(_messages(spark, sf), schema.NARROW_SCHEMA)
+    return rows.select(*[F.col(c).cast("string" if c == "location" else "double").alias(c) for c in schema.NARROW_COLUMNS])
 
 
 @query
@@ -221,7 +222,8 @@ def f1_user_profile_orders(spark, sf):
 
 
 def _by_user(spark, sf, *columns, window_seconds=fixture.DAY):
-    return features.user_features(fixture.events_as_txns(spark, sf), window_seconds).select(TXN, *columns)
+    txns, hot = fixture.events_as_txns(spark, sf), fixture.hot_users(spark, sf)
+    return features.user_features(txns, window_seconds, hot).select(TXN, *columns)
 
 
 @query
@@ -288,7 +290,8 @@ def f11_velocity_24h(spark, sf):
 @query
 def f5_f11_orders(spark, sf):
     """All user features on orders, whose dates repeat, so ids decide the order."""
-    return features.user_features(fixture.orders_as_txns(spark, sf), 30 * fixture.DAY).select(
+    hot = fixture.hot_customers(spark, sf)
+    return features.user_features(fixture.orders_as_txns(spark, sf), 30 * fixture.DAY, hot).select(
         TXN, "user_avg", "prior_avg", "is_new_device", "previous_location", "location_change",
         "time_since_last_txn", "velocity",
     )
@@ -304,6 +307,36 @@ def f5_f11_sliced(spark, sf):
     )
 
 
+LOADS = 3
+
+
+@query
+def f5_f11_heavy(spark, sf):
+    """The same with users cut whom a sketch of each load, stored and combined, names as heavy."""
+    txns = fixture.events_as_txns(spark, sf)
+    folder = f"{storage_dir(spark)}/sketches-{uuid4().hex}"
+    for n in range(LOADS):
+        heavy.store_sketch(txns.filter(F.pmod(F.col(TXN), F.lit(LOADS)) == n), folder, str(n))
+    hot = heavy.heavy_keys(heavy.stored_sketches(spark, folder), hot_rows=50)
+    return features.user_features(txns, fixture.DAY, hot).select(
+        TXN, "user_avg", "prior_avg", "is_new_device", "previous_location", "location_change",
+        "time_since_last_txn", "velocity",
+    )
+
+
+@query
+def f1_user_profile_merged(spark, sf):
+    """Profiles from the stored partial aggregates of several loads, two of them compacted into one."""
+    txns = fixture.events_as_txns(spark, sf)
+    base = f"{storage_dir(spark)}/profiles-{uuid4().hex}"
+    for n in range(LOADS):
+        profiles.store_load(txns.filter(F.pmod(F.col(TXN), F.lit(LOADS)) == n), f"{base}/loads", f"load{n}")
+    profiles.compact_loads(spark, f"{base}/loads", ["load0", "load1"], f"{base}/compact", "0-1")
+    newest = profiles.stored_parts(spark, f"{base}/loads").filter("load = 'load2'")
+    parts = profiles.stored_parts(spark, f"{base}/compact").unionByName(newest)
+    return profiles.profile_of(parts).withColumn("std_amount", F.round("std_amount", 4)).drop("active_hours")
+
+
 @query
 def f12_merchant_risk(spark, sf):
     rows = sampling.split_by_hash(fixture.features(spark, sf)).select(TXN, "merchant_id", "is_fraud", "split")
@@ -544,9 +577,14 @@ def t2_batch_meta(spark, sf):
     return alerts(spark, sf).select(TXN, *schema.SYSTEM_COLUMNS)
 
 
+def _scored_once(spark, sf):
+    """What the per-batch operators read of the scored table, stored, so that its features are computed once."""
+    return cut_lineage(fixture.scored(spark, sf).select(TXN, "batch_id", "amount", "location", "fraud_score", "pred", "is_fraud"))
+
+
 @query
 def t3_batch_metrics(spark, sf):
-    metrics = batches.batch_metrics(fixture.scored(spark, sf))
+    metrics = batches.batch_metrics(_scored_once(spark, sf))
     return metrics.select(
         "batch_id", "batch_size", "detected", "actual", "missed",
         F.size("alerts").alias("alert_count"), F.array_join("alerts.id", ",").alias("alert_ids"),
@@ -580,12 +618,12 @@ def t7_missed(spark, sf):
 
 @query
 def t8_latest10(spark, sf):
-    return batches.latest_alerts(fixture.scored(spark, sf)).select("batch_id", TXN, "amount", "fraud_score")
+    return batches.latest_alerts(_scored_once(spark, sf)).select("batch_id", TXN, "amount", "fraud_score")
 
 
 @query
 def t9_snapshot(spark, sf):
-    return batches.snapshot(fixture.scored(spark, sf)).select(
+    return batches.snapshot(_scored_once(spark, sf)).select(
         "total", "detected", "actual", "missed", F.array_join("alerts.id", ",").alias("alert_ids")
     )
 
@@ -607,65 +645,168 @@ def t10_window(spark, sf):
 
 
 STREAM_PARTS = 4
+STREAM_FILE_ROWS = 1_000_000
 FAR_FUTURE = "2200-01-01 00:00:00"
 
 
-def _as_stream(spark, txns):
-    """Transactions as a stream of several micro-batches in time order, ended by a row of the far future.
+def _time_parts(spark, txns):
+    """Transactions in parts by time, the last of them one row of the far future.
 
-    That row has no id. It moves the watermark past everything before it and stays in state itself.
+    That row has no id. It moves the watermark past everything before it and stays in state itself. A part is as
+    many files of a fixed size as its rows need.
     """
     txns = cut_lineage(txns.withColumn("timestamp", F.col("timestamp").cast("timestamp")))
-    folder = f"{storage_dir(spark)}/stream-{uuid4().hex}"
-    shares = [i / STREAM_PARTS for i in range(1, STREAM_PARTS)]
-    cut = txns.agg(F.percentile_approx(F.unix_micros("timestamp"), shares).alias("c")).first()["c"] or []
     us = F.unix_micros("timestamp")
-    for n, (low, high) in enumerate(zip([None, *cut], [*cut, None])):
-        part = txns.filter((us > low if low is not None else F.lit(True)) & (us <= high if high is not None else F.lit(True)))
-        part = part.unionByName(txns.filter(us.isNull())) if n == 0 else part
-        part.coalesce(1).write.parquet(f"{folder}/{n}")
+    shares = [i / STREAM_PARTS for i in range(1, STREAM_PARTS)]
+    cut, rows = txns.agg(F.percentile_approx(us, shares).alias("c"), F.count(F.lit(1)).alias("n")).first()
+    files = rows // (STREAM_PARTS * STREAM_FILE_ROWS) + 1
+    place = sum((F.coalesce((us > c).cast("int"), F.lit(0)) for c in cut or []), F.lit(0))
+    parts = [txns.filter(place == n).repartitionByRange(files, "timestamp") for n in range(STREAM_PARTS)]
     last = {"timestamp": F.lit(FAR_FUTURE).cast("timestamp"), "user_id": F.lit(-1), "amount": F.lit(1e9)}
     kinds = {f.name: f.dataType for f in txns.schema}
-    flush = spark.range(1).select(*[last.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
-    flush.write.parquet(f"{folder}/{STREAM_PARTS}")
-    return spark.readStream.schema(txns.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+    return [*parts, spark.range(1).select(*[last.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])]
+
+
+def _deliver(spark, parts, run):
+    """Write the parts one after the other into a folder that is read as a stream.
+
+    After each the query is started again from its checkpoint and works off what is new.
+    """
+    folder = f"{storage_dir(spark)}/stream-{uuid4().hex}"
+    for n, part in enumerate(parts):
+        part.write.parquet(f"{folder}/{n}")
+        raw = spark.readStream.schema(parts[0].schema).parquet(f"{folder}/*")
+        run(raw).awaitTermination()
 
 
-def _event_stream(spark, sf):
-    return _as_stream(spark, fixture.events_as_txns(spark, sf))
+def _paths(spark, name):
+    return jobs.RunPaths(storage_dir(spark), f"{name}-{uuid4().hex}")
 
 
-def _run(spark, writer_of, name):
-    """Work a stream off into a new run folder on the shared checkpoint storage and read it back."""
-    paths = jobs.RunPaths(storage_dir(spark), f"{name}-{uuid4().hex}")
-    jobs.start(writer_of(paths.of("out")), paths.checkpoint(name), trigger=None).awaitTermination()
-    return jobs.read_batches(spark, paths.of("out")) if name == "totals" else spark.read.parquet(paths.of("out"))
+def _appended(spark, parts, transform, name):
+    """What a stream appends to a table over all its restarts."""
+    paths = _paths(spark, name)
+
+    def run(raw):
+        writer = transform(raw).writeStream.outputMode("append").format("parquet").option("path", paths.of("out"))
+        return jobs.start(writer, paths.checkpoint("out"), trigger=None)
+
+    _deliver(spark, parts, run)
+    return spark.read.parquet(paths.of("out"))
 
 
 @query
 def t6_stream_totals(spark, sf):
-    labelled = _as_stream(spark, fixture.features(spark, sf)).filter(F.col(TXN).isNotNull())
-    predicted = jobs.with_prediction(labelled, None, limit=100.0)
-    rows = _run(spark, lambda out: jobs.totals(predicted).writeStream.outputMode("complete").foreachBatch(
-        jobs.totals_sink(out)), "totals")
+    paths = _paths(spark, "totals")
+
+    def run(raw):
+        predicted = jobs.with_prediction(raw.filter(F.col(TXN).isNotNull()), None, limit=100.0)
+        writer = jobs.totals(predicted).writeStream.outputMode("complete").foreachBatch(jobs.totals_sink(paths.of("out")))
+        return jobs.start(writer, paths.checkpoint("out"), trigger=None)
+
+    _deliver(spark, _time_parts(spark, fixture.features(spark, sf)), run)
+    rows = jobs.read_batches(spark, paths.of("out"))
     newest = rows.agg(F.max("batch_id").alias("b")).scalar()
     return rows.filter(F.col("batch_id") == newest).drop("batch_id")
 
 
+def _live_rows(spark, sf):
+    """The live view after the scored table has come in as a stream, whose parts cut through batches."""
+    paths = _paths(spark, "live")
+    scored = _scored_once(spark, sf)
+    parts = [scored.filter(F.pmod(F.col(TXN), F.lit(STREAM_PARTS)) == n) for n in range(STREAM_PARTS)]
+    _deliver(spark, parts, lambda raw: live.live_stream(raw, paths, trigger=None))
+    return live.read_live(spark, paths)
+
+
+@query
+def t8_stream_latest10(spark, sf):
+    return _live_rows(spark, sf).select("batch_id", TXN, "amount", "fraud_score")
+
+
+@query
+def t9_stream_snapshot(spark, sf):
+    entry = F.struct("position", F.col(TXN).cast("string").alias("id"))
+    ids = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["id"])
+    return _live_rows(spark, sf).groupBy(*live.TOTALS).agg(F.array_join(ids, ",").alias("alert_ids"))
+
+
+@query
+def s15_run_counters(spark, sf):
+    """Rows and alerts of a run as its micro-batches reported them."""
+    paths = _paths(spark, "counters")
+    table = counters.CounterTable(spark, paths.of("counters"))
+    scored = _scored_once(spark, sf)
+    parts = [scored.filter(F.pmod(F.col(TXN), F.lit(STREAM_PARTS)) == n) for n in range(STREAM_PARTS)]
+    started = []
+
+    def run(raw):
+        rows = counters.observed(raw, F.col("fraud_score") > fixture.ALERT_THRESHOLD)
+        writer = rows.writeStream.foreachBatch(jobs.alert_sink(paths.of("alerts"), fixture.ALERT_THRESHOLD))
+        started.append(jobs.start(writer, paths.checkpoint("alerts"), trigger=None))
+        return started[-1]
+
+    try:
+        _deliver(spark, parts, run)
+        for each in started:
+            table.settle(each)
+    finally:
+        table.close()
+    found = counters.read_counters(spark, paths.of("counters")).withColumn("has_rate", F.col("rows_per_second") > 0)
+    return found.select("batch_id", "rows", "alerts", "has_rate")
+
+
+@query
+def s8_redelivery(spark, sf):
+    """A producer that sends every transaction twice: each is kept once."""
+    txns = fixture.events_as_txns(spark, sf).select(TXN, "timestamp", "amount")
+    parts = [part.unionAll(part) for part in _time_parts(spark, txns)]
+    return _appended(spark, parts, lambda raw: jobs.once(raw, "40 days"), "once").filter(F.col(TXN).isNotNull()).select(TXN, "amount")
+
+
+def _replayed_stream(spark, sf):
+    """The full records replayed by a stream in parts, numbered across micro-batches, with canaries."""
+    paths = _paths(spark, "replay")
+    rows = cut_lineage(fixture.features(spark, sf))
+    parts = [rows.filter(F.pmod(F.col(TXN), F.lit(STREAM_PARTS)) == n) for n in range(STREAM_PARTS)]
+    _deliver(spark, parts, lambda raw: replay.replay_stream(raw, paths, trigger=None))
+    return replay.read_replayed(spark, paths)
+
+
+@query
+def p9_stream_ids(spark, sf):
+    return _replayed_stream(spark, sf).select(TXN, "source_id")
+
+
+@query
+def t12_stream_recall(spark, sf):
+    injected = _replayed_stream(spark, sf)
+    rescored = fixture.with_scores(injected.withColumn("risk_score", features.rule_score(features.id_noise("source_id"))))
+    return batches.canary_recall(rescored)
+
+
 @query
 def t10_stream_window(spark, sf):
     """Hourly count of rows over the rule amount, every window of the table."""
-    hits = _event_stream(spark, sf).filter(project.rule_hit(limit=100.0))
-    rows = _run(spark, lambda out: batches.alerts_per_window(hits).writeStream.outputMode("append").format(
-        "parquet").option("path", out), "windows")
+    rows = _appended(
+        spark, _time_parts(spark, fixture.events_as_txns(spark, sf)),
+        lambda raw: batches.alerts_per_window(raw.filter(project.rule_hit(limit=100.0))), "windows",
+    )
     return rows.select(micros(F.col("window_start")).alias("window_start_us"), "alert_count")
 
 
 @query
 def t11_stream_features(spark, sf):
-    result = stateful.stream_features(_event_stream(spark, sf), "1 hour", fixture.DAY)
-    return _run(spark, lambda out: result.writeStream.outputMode("append").format("parquet").option(
-        "path", out), "features")
+    """The user features on a stream, with homes and averages from the stored profiles."""
+    txns = fixture.events_as_txns(spark, sf)
+    known = cut_lineage(features.user_profile(txns))
+    rows = _appended(
+        spark, _time_parts(spark, txns), lambda raw: stateful.stream_features(raw, "1 hour", fixture.DAY, known), "features"
+    )
+    return rows.select(
+        TXN, "user_avg", "prior_avg", "is_new_device", "previous_location", "location_change",
+        "time_since_last_txn", "velocity",
+    )
 
 
 @query

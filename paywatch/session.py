@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,9 +54,11 @@ def use_checkpoint_dir(spark: SparkSession) -> bool:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store a result several branches read, so its plan runs once and survives lost executors.
 
-    Without a shared folder the plan is left as it is and runs once per branch.
+    It is a Parquet table in the shared folder: every branch reads only the columns it needs. Rows have no order.
     """
-    return df.checkpoint() if use_checkpoint_dir(df.sparkSession) else df
+    path = f"{storage_dir(df.sparkSession)}/stored-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def storage_dir(spark: SparkSession) -> str:

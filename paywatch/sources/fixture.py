@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paywatch.functions.columns import ratio, whole_part
 from paywatch.operators.ensemble import ensemble
 from paywatch.operators.features import id_noise, transaction_features
+from paywatch.operators.heavy import HOT_ROWS, heavy_users
 
 DAY = 86_400
 BATCH_ROWS = 1000
@@ -61,9 +62,19 @@ def orders_as_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customer, "user_id", "left").join(nation, "_nation", "left").drop("_nation")
 
 
+def hot_users(spark: SparkSession, sf_dir: str, hot_rows: int | None = None) -> DataFrame | None:
+    """The users whose events are too many for one task, None if there are none."""
+    return heavy_users(table(spark, sf_dir, "events").select("user_id"), hot_rows or HOT_ROWS)
+
+
+def hot_customers(spark: SparkSession, sf_dir: str, hot_rows: int | None = None) -> DataFrame | None:
+    """The same of orders."""
+    return heavy_users(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id")), hot_rows or HOT_ROWS)
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as the full transaction record, velocity over 24 hours, labelled by the rule."""
-    return transaction_features(events_as_txns(spark, sf_dir), window_seconds=DAY, noise=id_noise())
+    return transaction_features(events_as_txns(spark, sf_dir), DAY, hot_users(spark, sf_dir), id_noise())
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
