@@ -209,6 +209,9 @@ def build() -> dict[str, str]:
 
     q["s1_scan"] = f"WITH {RAW} SELECT * FROM raw"
     q["s3_splits"] = f"WITH {FEAT}, {_split('feat')} SELECT split, is_fraud, count(*) AS row_count FROM split GROUP BY ALL"
+    q["s2_write_read"] = f"WITH {FEAT} SELECT * REPLACE (epoch_us(timestamp) AS timestamp) FROM (SELECT {TXN20} FROM feat)"
+    q["s3_saved_splits"] = f"""WITH {FEAT}, {_split('feat')} SELECT is_fraud, count(*) AS row_count, 17 AS column_count
+  FROM split WHERE split = 'val' GROUP BY ALL"""
     q["s5_json_decode"] = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events"
     q["s6_narrow_decode"] = f"""WITH {FEAT} SELECT CAST(transaction_id AS DOUBLE) AS transaction_id, amount,
   CAST(velocity AS DOUBLE) AS velocity, time_since_last_txn, location, CAST(is_fraud AS DOUBLE) AS is_fraud FROM feat"""
@@ -307,6 +310,7 @@ SELECT s.transaction_id, CASE WHEN s.device_type = 'view' THEN 0 ELSE coalesce(d
 FROM split s LEFT JOIN d ON d.value = s.device_type LEFT JOIN l ON l.value = s.location"""
     q["m7_predict"] = f"""WITH {RAW}, {_split('raw')} SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS forest_wrong,
   CAST(0 AS BIGINT) AS boost_wrong, CAST(0 AS BIGINT) AS mean_wrong FROM split WHERE split = 'test'"""
+    q["s13_saved_models"] = f"WITH {RAW}, {_split('raw')} SELECT count(*) AS same, CAST(0 AS BIGINT) AS different FROM split WHERE split = 'test'"
     # A leaf of one tree on a 0/1 feature: the weighted share of positives, or for boosting the weighted mean of -1 and 1.
     stump = f"""WITH {FEAT}, {_split('feat')}, train AS (SELECT * FROM split WHERE split = 'train'),
 n AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(is_fraud) AS DOUBLE) AS p FROM train),
@@ -323,6 +327,7 @@ SELECT class, precision, recall, f1, CAST(s AS BIGINT) AS support FROM cls
 UNION ALL SELECT 'accuracy', NULL, NULL, (tn + tp) / (tn + fp + fn + tp), CAST(tn + fp + fn + tp AS BIGINT) FROM cells
 UNION ALL SELECT 'macro avg', (sum(precision)) / 2, sum(recall) / 2, sum(f1) / 2, CAST(max(total) AS BIGINT) FROM cls
 UNION ALL SELECT 'weighted avg', sum(precision * s) / max(total), sum(recall * s) / max(total), sum(f1 * s) / max(total), CAST(max(total) AS BIGINT) FROM cls"""
+    q["s12_report_file"] = q["e1_report"]
     q["e2_roc_auc"] = f"""WITH {CURVE} SELECT CAST(sum(CAST(pos AS DOUBLE) * (CAST(n - fp AS DOUBLE) + CAST(neg AS DOUBLE) / 2)) AS DOUBLE)
   / (max(CAST(p AS DOUBLE)) * max(CAST(n AS DOUBLE))) AS roc_auc FROM curve"""
     q["e3_pr_curve"] = f"WITH {CURVE} SELECT * FROM pr UNION ALL SELECT NULL, 1.0::DOUBLE, 0.0::DOUBLE"
@@ -365,6 +370,7 @@ FROM events WHERE value > 100 GROUP BY ALL"""
     q["f1_user_profile_merged"] = q["f1_user_profile"]
     q["t8_stream_latest10"] = q["t8_latest10"]
     q["t9_stream_snapshot"] = q["t9_snapshot"]
+    q["s8_compaction"] = q["t2_batch_meta"]
     q["s8_redelivery"] = f"WITH {RAW} SELECT transaction_id, amount FROM raw"
     # Every part of a stream that holds the ids of one remainder is one micro-batch.
     q["s15_run_counters"] = f"""WITH {SCORED} SELECT transaction_id % 4 AS batch_id, count(*) AS rows,

@@ -16,8 +16,8 @@ from paywatch.operators import batches, encode, evaluate, features, heavy, profi
 from paywatch.operators.ensemble import ensemble
 from paywatch.operators.models import RiskModels, apply_model, fit_boost, fit_forest, fit_models, serving_models
 from paywatch.session import apply_settings, cut_lineage, storage_dir
-from paywatch.sources import fixture, messages, schema
-from paywatch.streaming import counters, jobs, live, replay, stateful
+from paywatch.sources import fixture, messages, schema, tables
+from paywatch.streaming import compaction, counters, jobs, live, replay, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -67,6 +67,24 @@ def s1_scan(spark, sf):
     return fixture.events_as_txns(spark, sf)
 
 
+@query
+def s2_write_read(spark, sf):
+    """Transactions written as CSV and read back with the fixed schema."""
+    path = f"{storage_dir(spark)}/csv-{uuid4().hex}"
+    rows = fixture.features(spark, sf).select(schema.TXN_COLUMNS)
+    tables.write_txns(rows.withColumn("timestamp", F.col("timestamp").cast("timestamp")), path, "csv")
+    return tables.read_txns(spark, path, "csv").withColumn("timestamp", micros(F.col("timestamp")))
+
+
+@query
+def s3_saved_splits(spark, sf):
+    """Splits stored by folder, one of them read back."""
+    path = f"{storage_dir(spark)}/splits-{uuid4().hex}"
+    tables.save_splits(sampling.split_by_hash(fixture.features(spark, sf).select(schema.TXN_COLUMNS)), path)
+    back = tables.read_split(spark, path, "val")
+    return back.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("row_count"), F.lit(len(back.columns)).alias("column_count"))
+
+
 @query
 def s3_splits(spark, sf):
     split = sampling.split_by_hash(fixture.features(spark, sf))
@@ -506,6 +524,21 @@ def m8_importance(spark, sf):
     return fitted(spark, sf)[0].importances()
 
 
+@query
+def s13_saved_models(spark, sf):
+    """Rows of the test split that models, saved twice and loaded, score like the fitted ones, and others."""
+    models, rows = fitted(spark, sf)
+    path = f"{storage_dir(spark)}/models-{uuid4().hex}"
+    RiskModels(models.stages, models.forest, models.boost, models.features, models.weights, 0.99).save(path)
+    models.save(path)
+    again = RiskModels.load(spark, path)
+    test = rows.filter("split = 'test'")
+    kept = cut_lineage(models.score(test).select(TXN, "fraud_score"))
+    both = again.score(test).select(F.col(TXN).alias("id"), F.col("fraud_score").alias("again")).join(kept, F.col("id") == F.col(TXN), "full")
+    same = F.col("fraud_score").eqNullSafe(F.col("again")) & F.lit(again.threshold == models.threshold)
+    return both.agg(F.count_if(same).alias("same"), F.count_if(~same).alias("different"))
+
+
 @query
 def m9_ensemble_weighted(spark, sf):
     score = ensemble({"score_b": 0.7, "score_a": 0.3})
@@ -526,6 +559,15 @@ def e1_report(spark, sf):
     return evaluate.classification_report(fixture.scored(spark, sf))
 
 
+@query
+def s12_report_file(spark, sf):
+    """The report as its one CSV file says it."""
+    path = f"{storage_dir(spark)}/report-{uuid4().hex}"
+    tables.write_report(evaluate.classification_report(fixture.scored(spark, sf)), path)
+    kinds = "class string, precision double, recall double, f1 double, support long"
+    return spark.read.schema(kinds).option("header", True).csv(path)
+
+
 @query
 def e2_roc_auc(spark, sf):
     return evaluate.roc_auc(fixture.scored(spark, sf))
@@ -756,6 +798,22 @@ def s15_run_counters(spark, sf):
     return found.select("batch_id", "rows", "alerts", "has_rate")
 
 
+@query
+def s8_compaction(spark, sf):
+    """The stored alerts, read while some of their batches are compacted, some dropped after that, and some are new."""
+    paths = _paths(spark, "compaction")
+    stored = alerts(spark, sf)
+    upto = stored.agg(F.percentile_approx("batch_id", [0.3, 0.6]).alias("c")).first()["c"] or [0, 0]
+    for low, high in zip([None, *upto], [*upto, None]):
+        here = F.lit(True) if low is None else F.col("batch_id") > low
+        here = here if high is None else here & (F.col("batch_id") <= high)
+        stored.filter(here).repartition("batch_id").write.mode("append").partitionBy("batch_id").parquet(paths.of("alerts"))
+        if high is not None:
+            compaction.compact_alerts(spark, paths)
+    compaction.drop_compacted(spark, paths)
+    return compaction.read_alerts(spark, paths).select(TXN, *schema.SYSTEM_COLUMNS)
+
+
 @query
 def s8_redelivery(spark, sf):
     """A producer that sends every transaction twice: each is kept once."""
