@@ -40,6 +40,8 @@ MORE_RULES = (
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE_RULES + MORE_RULES
+# A finding and its share of a blob's address: about 32 MB.
+BROADCAST_SPANS = 250_000
 HIT = "struct<rule:string,kind:string,gaps:array<int>,matches:array<int>,values:array<int>>"
 SPANS = "array<struct<start:bigint,rank:bigint,kind:string,end:bigint>>"
 
@@ -145,6 +147,12 @@ def listing(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _few(marks: DataFrame) -> DataFrame:
+    """The findings to be cut out, broadcast up to BROADCAST_SPANS of them; beyond, their join shuffles."""
+    spans = marks.agg(F.sum(F.size("marks"))).first()[0] or 0
+    return F.broadcast(marks) if spans <= BROADCAST_SPANS else marks
+
+
 def redact(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The same rows and columns, with every finding in `text` replaced by [kind] and n_chars, if there, renewed.
 
@@ -159,7 +167,7 @@ def redact(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES) -> Da
     marks = merged.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("marks"))
     marks = stage(marks, "marks")
     rows = docs.select(F.struct("*").alias("row"), blob_id(F.col("text")).alias("key"))
-    joined = rows.join(marks, F.col("key") == F.col("blob"), "left")
+    joined = rows.join(_few(marks), F.col("key") == F.col("blob"), "left")
     old = F.col("row.text")
     index = F.sequence(F.lit(0), F.size("marks") - 1)
     begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("marks.end"), i - 1))

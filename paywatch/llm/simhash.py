@@ -197,12 +197,22 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     def named(text: pa.Array) -> pa.Array:
         return pa.array([fingerprint(t, shingle) for t in utf8(text)], pa.int64())
 
-    held = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key"))
-    table = stage(held.withColumn("fp", named(F.coalesce("row.text", F.lit("")))), "near-rows")
+    id_, h = F.col("row.doc_id"), F.xxhash64("row.text")
+    held = docs.select(F.struct("*").alias("row"))
+    fps = named(F.coalesce("row.text", F.lit(""))).alias("fp")
+    table = stage(held.select(id_.alias("id"), h.alias("h"), fps), "near-rows")  # no text is stored or shuffled
     distinct = stage(table.select("fp").distinct().select("fp", F.col("fp").alias("rep")), "distinct")
     groups = stage(components(near_links(distinct, radius)), "groups")
-    rows = table.select("key", "fp", F.col("row.doc_id").alias("id"), F.xxhash64("row.text").alias("h"))
-    rows = rows.join(sized(groups), F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    first = rows.where("id is not null").groupBy("root").agg(F.min_by("key", F.struct("id", "h", "key")).alias("key")).select("key")
-    kept = stage(first.unionByName(rows.where("id is null").select("key")), "kept")
-    return table.join(sized(kept), "key", "left_semi").select("row.*")
+    texts_of = table.where("id is not null").groupBy("id", "h", "fp").agg(F.count(F.lit(1)).alias("n"))
+    texts_of = stage(texts_of.join(sized(groups), F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")), "near-texts")
+    # One row for every group; of a group of many texts each task sends one.
+    first = texts_of.groupBy("root").agg(F.min(F.struct("id", "h")).alias("first"))
+    judged = texts_of.join(sized(first), "root").withColumn("stays", F.struct("id", "h") == F.col("first"))
+    gone = stage(judged.where(~F.col("stays")).select(F.col("id").alias("of_id"), F.col("h").alias("of_h")), "near-gone")
+    twice = stage(judged.where(F.col("stays") & (F.col("n") > 1)).select(F.col("id").alias("of_id"), F.col("h").alias("of_h")), "near-twice")
+    same = (id_ == F.col("of_id")) & (h == F.col("of_h"))
+    kept = held.join(sized(gone), same, "left_anti")
+    if not twice.isEmpty():
+        again = kept.join(sized(twice), same).groupBy("of_id", "of_h").agg(F.any_value("row").alias("row")).select("row")
+        kept = kept.join(sized(twice), same, "left_anti").unionByName(again)
+    return kept.select("row.*")

@@ -95,41 +95,42 @@ def test_stages_handle_edges(spark, docs, name, function):
             assert kept == [1, 4, 5, 7, 20] and out.where("doc_id is null").count() == 1
 
 
-def brute_similar(rows):
-    """Smallest id reachable over texts with a 5-word Jaccard similarity of 0.8 or more."""
-
-    def shingles(t):
-        w = (t or "").lower().split()
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
-
-    sets, label = [shingles(t) for _, t in rows], list(range(len(rows)))
-    for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
-            if a == b or 9 * len(a & b) >= 4 * (len(a) + len(b)):
-                label = [label[j] if x == label[i] else x for x in label]
-    least = {}
-    for (i, _), x in zip(rows, label):
-        least[x] = min(i, least.get(x, i))
-    return [least[x] for x in label]
-
-
-@pytest.mark.parametrize("limits", [{}, {"pairs_a_row": 0, "rounds": 3}, {"pairs_a_row": 0, "rounds": 0}])
-def test_similar_texts_are_one_group(spark, docs, limits):
-    """Copies with more and more edits, around a shared passage, so that similarities lie on both sides of 0.8."""
-    from paywatch.llm import similar
-
-    rows = [r for r in EDGES if r[0] is not None]
-    for n in range(8):
-        base = words(900, 60) + words(n, 140)
-        for k in range(9):
-            copy = list(base)
-            for at in range(k):
-                copy[(at * 41 + n) % len(copy)] = f"edit{n}x{k}"
-            rows.append((1000 - 20 * n - k, " ".join(copy + words(300 + k, 3 * k))))
-    rows += [(2000 + n, " ".join(words(901, 180) + words(3000 + n, n))) for n in range(40)]
-    got = similar.similar_groups(docs(rows, **CLASHES), **limits).collect()
-    want = brute_similar(rows)
-    assert Counter(map(tuple, got)) == Counter(zip((i for i, _ in rows), want))
-    assert 20 < len(set(want)) < len(rows) - 40
-    assert similar.similar_groups(docs([])).count() == 0
+def test_clashing_columns_keep_their_values(docs):
+    """Every name the stages use themselves is an extra column; its values must come through."""
+    from paywatch.llm import decontaminate, secret_scan
+
+    names = ["row", "key", "blob", "marks", "new", "marked", "fp", "h", "id", "of_id", "of_h", "root", "node", "leak", "rep", "first",
+             "stays", "keep_id", "leak_id", "_key", "_blob", "_marks", "item_id", "n", "s", "run", "reach", "cell"]
+    secret = "password: abcdefgh12345678 end"
+    table = docs([(1, "one two three four"), (2, secret), (3, None)], **{n: f"value of {n}" for n in names})
+    items = docs([(9, "completely different words in here")]).selectExpr("doc_id as item_id", "text")
+    for out in (simhash.one_of_each(table), decontaminate.without_leaks(table, items), secret_scan.redact(table, secret_scan.new_ledger(table.sparkSession))):
+        assert out.columns == table.columns
+        rows = out.collect()
+        assert len(rows) == 3 and all(r[n] == f"value of {n}" for r in rows for n in names)
+    assert {r.doc_id: r.text for r in rows}[2] == "[assign] end"
+
+
+def test_rows_of_one_id_with_different_texts_stay_apart(docs):
+    from paywatch.llm import decontaminate
+
+    passage = text(77, 12)
+    rows = [(1, text(1, 40)), (1, text(2, 40)), (1, text(1, 40)), (2, text(2, 40)), (3, f"{text(4, 20)} {passage} {text(5, 20)}"), (3, text(6, 40))]
+    kept = simhash.one_of_each(docs(rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted({rows[0], rows[1], rows[4], rows[5]})
+    items = docs([(9, passage)]).selectExpr("doc_id as item_id", "text")
+    left = decontaminate.without_leaks(docs(rows), items).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted(r for r in rows if passage not in r[1])
+
+
+def test_a_blob_recorded_twice_counts_once(spark, docs):
+    """Two runs at once leave two rows of a blob in the ledger."""
+    from paywatch.llm import secret_scan
+
+    table = docs([(1, "x password: abcdefgh12345678 y token=zzzzzzzzzzzz9999 z"), (2, "😀😀 api_key=0123456789abcdef0123")])
+    ledger = secret_scan.new_ledger(spark)
+    want = {r.doc_id: r.spans for r in secret_scan.find_secrets(table, ledger).collect()}
+    held = spark.createDataFrame(ledger.read().collect(), ledger.schema)
+    held.write.mode("append").parquet(ledger.path)
+    assert {r.doc_id: r.spans for r in secret_scan.find_secrets(table, ledger).collect()} == want
+    assert {r.doc_id: r.text for r in secret_scan.redact(table, ledger).collect()} == {1: "x [assign] y [assign] z", 2: "😀😀 [assign]"}
