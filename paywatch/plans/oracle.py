@@ -319,6 +319,48 @@ SELECT transaction_id, round({{score}}, 9) AS {{name}}_score, CAST({{score}} > 0
 FROM split JOIN leaf USING (is_new_device) WHERE split = 'test'"""
     q["m4_stump"] = stump.format(pos="n / (2 * p)", neg="n / (2 * (n - p))", score="(wp / (wp + wn))", name="forest")
     q["m5_one_round"] = stump.format(pos="(n - p) / p", neg="1.0::DOUBLE", score="(1 / (1 + exp(-2 * (wp - wn) / (wp + wn))))", name="boost")
+    # Second order: gradient p - y, hessian p * (1 - p) at p = 1/2, both times the weight; leaves -0.05 * G / (H + 1).
+    flags = "[is_new_device, location_change, high_amount_flag]"
+
+    def best(name: str, rows: str) -> str:
+        return f"""{name}_cell AS (SELECT node, f, sum(g) AS g, sum(h) AS h, coalesce(sum(g) FILTER (flag = 0), 0) AS gb,
+  coalesce(sum(h) FILTER (flag = 0), 0) AS hb FROM (SELECT node, g, h, unnest(range(3)) AS f, unnest(flags) AS flag FROM {rows}) GROUP BY node, f),
+{name} AS (SELECT node, any_value(g) AS g, any_value(h) AS h, arg_max(f, gain * 1e6 - f * 1e-6) FILTER (fair) AS f, max(gain) FILTER (fair) AS gain FROM (
+  SELECT *, gb * gb / (hb + 1) + (g - gb) * (g - gb) / (h - hb + 1) - g * g / (h + 1) AS gain, hb >= 1 AND h - hb >= 1 AND gain > 1e-9 AS fair FROM {name}_cell) GROUP BY node)"""
+
+    newton = f"""WITH {FEAT}, {_split('feat')}, flagged AS (SELECT transaction_id, split, is_fraud, {flags} AS flags FROM split),
+w AS (SELECT CAST(count(*) FILTER (is_fraud = 0) AS DOUBLE) / count(*) FILTER (is_fraud = 1) AS w FROM flagged WHERE split = 'train'),
+train0 AS (SELECT flags, 0 AS node, (0.5::DOUBLE - is_fraud) * CASE WHEN is_fraud = 1 THEN w ELSE 1.0::DOUBLE END AS g,
+  0.25::DOUBLE * CASE WHEN is_fraud = 1 THEN w ELSE 1.0::DOUBLE END AS h FROM flagged CROSS JOIN w WHERE split = 'train'),
+{best("first", "train0")},
+train1 AS (SELECT t.flags, CASE WHEN f IS NULL THEN 0 ELSE 1 + flags[f + 1] END AS node, t.g, t.h FROM train0 t CROSS JOIN first),
+{best("second", "train1")},
+train2 AS (SELECT CASE WHEN f IS NULL OR node = 0 THEN node ELSE node * 10 + flags[f + 1] END AS node, t.g, t.h FROM train1 t JOIN second USING (node)),
+leaf AS (SELECT node, -0.05::DOUBLE * sum(g) / (sum(h) + 1) AS v FROM train2 GROUP BY node)"""
+    q["m5_newton_tree"] = f"""{newton} SELECT transaction_id, round(1 / (1 + exp(-v)), 9) AS newton_score,
+  CAST(1 / (1 + exp(-v)) > 0.5 AS INTEGER) AS newton_pred
+FROM (SELECT transaction_id, CASE WHEN s.f IS NULL OR s.node = 0 THEN s.node ELSE s.node * 10 + flags[s.f + 1] END AS node FROM (
+  SELECT transaction_id, flags, CASE WHEN f IS NULL THEN 0 ELSE 1 + flags[f + 1] END AS node FROM flagged CROSS JOIN first WHERE split = 'test') x
+  JOIN second s USING (node)) JOIN leaf USING (node)"""
+    q["m8_newton_gain"] = f"""{newton}, gains AS (SELECT f, avg(gain) AS gain FROM (
+  SELECT f, gain FROM first UNION ALL SELECT f, gain FROM second WHERE node > 0) WHERE gain IS NOT NULL GROUP BY f),
+named AS (SELECT ['is_new_device', 'location_change', 'high_amount_flag'][i + 1] AS feature, coalesce(gain, 0) AS gain
+  FROM (SELECT unnest(range(3)) AS i) LEFT JOIN gains ON f = i)
+SELECT feature, round(gain / (SELECT sum(gain) FROM named), 9) AS importance FROM named"""
+    simple = f"""{newton.replace("flagged AS (SELECT transaction_id,", "flagged AS (SELECT transaction_id, batch_id,")},
+sn AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(is_fraud) AS DOUBLE) AS p FROM flagged WHERE split = 'train'),
+stump AS (SELECT flags[1] AS d, sum(is_fraud * n / (2 * p)) AS wp, sum((1 - is_fraud) * n / (2 * (n - p))) AS wn
+  FROM flagged CROSS JOIN sn WHERE split = 'train' GROUP BY 1),
+simple AS (SELECT transaction_id, batch_id, wp / (wp + wn) AS forest_score, 1 / (1 + exp(-v)) AS boost_score FROM (
+  SELECT transaction_id, batch_id, flags, CASE WHEN s.f IS NULL OR s.node = 0 THEN s.node ELSE s.node * 10 + flags[s.f + 1] END AS node FROM (
+    SELECT transaction_id, batch_id, flags, CASE WHEN f IS NULL THEN 0 ELSE 1 + flags[f + 1] END AS node FROM flagged CROSS JOIN first WHERE split = 'test') x
+  JOIN second s USING (node)) JOIN leaf USING (node) JOIN stump ON d = flags[1])"""
+    q["m6_simple_proba"] = f"""{simple} SELECT transaction_id, round(forest_score, 9) AS forest_score, round(boost_score, 9) AS boost_score,
+  round(0.7::DOUBLE * boost_score + 0.3::DOUBLE * forest_score, 9) AS fraud_score FROM simple"""
+    q["t1_simple_score"] = f"""{simple}, meta AS (
+  SELECT batch_id, count(*) AS total_batch_txns, max(timestamp) AS pipeline_detected_at FROM raw GROUP BY batch_id)
+SELECT transaction_id, fraud_score, {SYSTEM} FROM (
+  SELECT *, round(0.5::DOUBLE * boost_score + 0.5::DOUBLE * forest_score, 9) AS fraud_score FROM simple) JOIN meta USING (batch_id) WHERE fraud_score > 0.5"""
     q["m9_ensemble_weighted"] = f"WITH {SCORED} SELECT transaction_id, 0.7::DOUBLE * score_b + 0.3::DOUBLE * score_a AS fraud_score FROM scored"
     q["m10_ensemble_mean"] = f"WITH {SCORED} SELECT transaction_id, 0.5::DOUBLE * score_b + 0.5::DOUBLE * score_a AS fraud_score FROM scored"
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paywatch.functions.columns import micros
-from paywatch.operators import batches, encode, evaluate, features, heavy, profiles, project, sampling, serving
-from paywatch.operators.ensemble import ensemble
+from paywatch.operators import batches, boosting, encode, evaluate, features, heavy, profiles, project, sampling, serving
+from paywatch.operators.ensemble import SERVING_WEIGHTS, TRAINING_WEIGHTS, ensemble
 from paywatch.operators.models import RiskModels, apply_model, fit_boost, fit_forest, fit_models, serving_models
 from paywatch.session import apply_settings, cut_lineage, storage_dir
 from paywatch.sources import fixture, messages, schema, tables
@@ -519,6 +519,53 @@ def m5_one_round(spark, sf):
     return _on_new_device(spark, sf, fit, "boost")
 
 
+FLAGS = ["is_new_device", "location_change", "high_amount_flag"]
+
+
+def _newton_on_flags(spark, sf):
+    """One second-order tree of depth 2 on three flags, all rows and columns drawn: simple enough for SQL."""
+    rows = cut_lineage(sampling.split_by_hash(fixture.features(spark, sf)).select(TXN, *FLAGS, "is_fraud", "split"))
+    model = boosting.fit_newton(rows.filter("split = 'train'"), FLAGS, rounds=1, depth=2, row_share=1.0, column_share=1.0)
+    return model, rows.filter("split = 'test'")
+
+
+def _simple_scores(spark, sf):
+    """The test split scored by one depth-1 tree on class weights and one second-order tree: checkable by SQL."""
+    rows = cut_lineage(sampling.split_by_hash(fixture.features(spark, sf)).select(TXN, *FLAGS, "is_fraud", "batch_id", "split"))
+    train = rows.filter("split = 'train'")
+    vectors = VectorAssembler(inputCols=["is_new_device"], outputCol="features")
+    forest = fit_forest(vectors.transform(train).select("features", "is_fraud"), trees=1, depth=1, bootstrap=False, featureSubsetStrategy="all")
+    boost = boosting.fit_newton(train, FLAGS, rounds=1, depth=2, row_share=1.0, column_share=1.0)
+    scored = apply_model(vectors.transform(rows.filter("split = 'test'")), forest, "forest").drop("features")
+    return boost.score(scored, "boost")
+
+
+@query
+def m6_simple_proba(spark, sf):
+    mean = _simple_scores(spark, sf).withColumn("fraud_score", ensemble(TRAINING_WEIGHTS))
+    return mean.select(TXN, *(F.round(c, 9).alias(c) for c in ("forest_score", "boost_score", "fraud_score")))
+
+
+@query
+def t1_simple_score(spark, sf):
+    """Alerts of the equal-weight mean with the size and time of their whole batch."""
+    mean = _simple_scores(spark, sf).withColumn("fraud_score", F.round(ensemble(SERVING_WEIGHTS), 9))
+    hits = project.over_threshold(mean, fixture.ALERT_THRESHOLD)
+    return batches.with_batch_meta(hits, fixture.events_as_txns(spark, sf)).select(TXN, "fraud_score", *schema.SYSTEM_COLUMNS)
+
+
+@query
+def m5_newton_tree(spark, sf):
+    model, test = _newton_on_flags(spark, sf)
+    return model.score(test).select(TXN, F.round("newton_score", 9).alias("newton_score"), "newton_pred")
+
+
+@query
+def m8_newton_gain(spark, sf):
+    model, _ = _newton_on_flags(spark, sf)
+    return model.importances(spark).withColumn("importance", F.round("importance", 9))
+
+
 @query
 def m8_importance(spark, sf):
     return fitted(spark, sf)[0].importances()

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from paywatch.operators.batches import batch_metrics
-from paywatch.operators.models import RiskModels
+from paywatch.operators.models import RiskModels, apply_model
 from paywatch.operators.project import fill_zero, over_threshold, rule_hit
 from paywatch.sources.messages import checked, decode, quarantine, readable, typed
-from paywatch.sources.schema import MESSAGE_SCHEMA, NARROW_SCHEMA, RULE_AMOUNT, TRIGGER
+from paywatch.sources.schema import CATEGORICAL, MESSAGE_SCHEMA, NARROW_SCHEMA, RULE_AMOUNT, TRIGGER
 from paywatch.streaming.counters import observed
 
 
@@ -134,6 +134,13 @@ def with_prediction(df: DataFrame, models: RiskModels | None, limit: float = RUL
     })
 
 
+def with_forest_prediction(df: DataFrame, models: RiskModels) -> DataFrame:
+    """Add the forest's score and hard prediction to rows that lack some of its features: these count as 0."""
+    lacking = {c: F.lit("0" if c in CATEGORICAL else 0) for c in models.features if c not in df.columns}
+    scored = apply_model(models.vectors(df.withColumns(lacking)), models.forest, "forest")
+    return scored.select(*df.columns, F.col("forest_score").alias("fraud_score"), F.col("forest_pred").alias("pred"))
+
+
 def metrics_sink(path: str) -> Callable[[DataFrame, int], None]:
     """Per micro-batch one metric record: size, detected, actual, missed and its top alerts."""
 
@@ -149,11 +156,16 @@ def metrics_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def metrics_stream(
-    raw: DataFrame, models: RiskModels | None, paths: RunPaths, trigger: str | None = TRIGGER
+    raw: DataFrame, models: RiskModels | None, paths: RunPaths, trigger: str | None = TRIGGER, narrow: bool = False
 ) -> StreamingQuery:
-    """Messages in, metric records out. The rule needs few columns, the models need all."""
-    rows = transactions(raw) if models is not None else narrow_transactions(raw)
-    writer = with_prediction(rows, models).writeStream.foreachBatch(metrics_sink(paths.of("metrics")))
+    """Messages in, metric records out.
+
+    The models need all columns; ``narrow`` messages are predicted by the forest alone, with the features they lack
+    as 0. Without models the rule decides, which needs few columns.
+    """
+    rows = transactions(raw) if models is not None and not narrow else narrow_transactions(raw)
+    predicted = with_forest_prediction(rows, models) if models is not None and narrow else with_prediction(rows, models)
+    writer = predicted.writeStream.foreachBatch(metrics_sink(paths.of("metrics")))
     return start(writer, paths.checkpoint("metrics"), trigger)
 
 

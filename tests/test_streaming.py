@@ -109,6 +109,21 @@ def test_metrics_by_model(spark, labelled, fitted, tmp_path):
     assert tuple(got) == tuple(expected)
 
 
+def test_narrow_messages_by_the_forest(spark, labelled, fitted, tmp_path):
+    """The metrics of narrow messages equal those of full ones whose other features are 0."""
+    kept = set(schema.NARROW_COLUMNS)
+    zeros = {c: F.lit("0" if c in schema.CATEGORICAL else 0).cast(labelled.schema[c].dataType) for c in fitted.features if c not in kept}
+    expected = fitted.score(labelled.withColumns(zeros))
+    got = jobs.with_forest_prediction(labelled.select(schema.NARROW_COLUMNS), fitted)
+    assert got.columns == [*schema.NARROW_COLUMNS, "fraud_score", "pred"]
+    assert got.select("transaction_id", "pred").exceptAll(expected.select("transaction_id", "forest_pred")).count() == 0
+    paths = jobs.RunPaths(str(tmp_path / "out"), "r")
+    raw = messages.message_stream(spark, "files", path=publish(labelled, tmp_path / "in", parts=2))
+    jobs.metrics_stream(raw, fitted, paths, trigger=None, narrow=True).awaitTermination()
+    seen = jobs.read_batches(spark, paths.of("metrics")).agg(F.sum("detected"), F.sum("batch_size")).first()
+    assert tuple(seen) == tuple(expected.agg(F.sum("forest_pred"), F.count(F.lit(1))).first())
+
+
 def test_running_totals_stream(spark, labelled, tmp_path):
     source = publish(labelled, tmp_path / "in")
     raw = messages.message_stream(spark, "files", path=source)
