@@ -71,6 +71,17 @@ def _search() -> tuple[list[Notice], ahocorasick.Automaton]:
     return notices, automaton
 
 
+def _matches(pattern: regex.Pattern, text: str, begin: int, end: int) -> Iterator[regex.Match]:
+    """Every match in a stretch of text: the best one, and then what lies before and after it."""
+    open_ = [(begin, end)]
+    while open_:
+        begin, end = open_.pop()
+        found = pattern.search(text, begin, end) if begin < end else None
+        if found is not None and found.end() > found.start():
+            yield found
+            open_ += [(begin, found.start()), (found.end(), end)]
+
+
 def find_notices(text: str) -> list[tuple[str, int, int, int]]:
     """(label, start, end, edits) of every notice in a lower-case text, by start; code points, end exclusive."""
     notices, automaton = _search()
@@ -89,7 +100,7 @@ def find_notices(text: str) -> list[tuple[str, int, int, int]]:
     found = set()
     for which, mine in windows.items():
         for begin, end in mine:
-            for m in notices[which].match.finditer(text, max(0, begin), min(len(text), end)):
+            for m in _matches(notices[which].match, text, max(0, begin), min(len(text), end)):
                 found.add((notices[which].label, m.start(), m.end(), sum(m.fuzzy_counts), notices[which].size))
     # Of notices that overlap, the one with the fewest edits for its length is reported, the longest first.
     kept: list[tuple[str, int, int, int]] = []

@@ -1,8 +1,9 @@
 """Document fingerprints by locally consistent parsing.
 
 Deterministic coin tossing cuts a text into phrases at places that depend on a few neighbouring characters only, and
-names each phrase by its content; parsing the names again gives longer phrases. Equal substrings get equal phrases
-inside, wherever they stand, so the set of phrase names shows what two texts share.
+names each phrase by its content; parsing the names again gives longer phrases, up to two for the whole text. Equal
+substrings get equal phrases inside, on every level, wherever they stand, so the set of phrase names shows what two
+texts share.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from pyspark.sql import functions as F
 
 from paywatch.llm.common import texts, utf8
 
-LEVELS = 2
-SKETCH = 64
+# Names from this level on count, phrases of about ten characters; the ones below are too common.
+LEAST_LEVEL = 2
+# A sketch holds all of SKETCH names, and of more a SHARE-th: the share of a text that an edit must touch to be seen
+# does not grow with the text.
+SKETCH, SHARE = 64, 16
 GROUP_CHARS = 1 << 17
 SLICE_BYTES = 4 << 20
 MAX_SLICES = 1 << 14
@@ -73,24 +77,47 @@ def parse(names: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return _named(runs, starts), first[starts]
 
 
+def phrase_names(symbols: list[np.ndarray]) -> list[np.ndarray]:
+    """For every text, given as code points, the distinct names of its phrases on all levels from LEAST_LEVEL on,
+    32 bits each, in order. A text is parsed until two phrases are left: two may stay two."""
+    found: list[list[np.ndarray]] = [[] for _ in symbols]
+    owners = np.array([i for i, s in enumerate(symbols) if len(s)])
+    if not len(owners):
+        return [np.zeros(0, np.uint32)] * len(symbols)
+    names = np.concatenate([symbols[i] for i in owners]).astype(np.uint64)
+    first = np.zeros(len(names), bool)
+    first[np.cumsum([0, *(len(symbols[i]) for i in owners[:-1])])] = True
+    level = 0
+    while len(owners):
+        names, first = parse(names, first)
+        level += 1
+        if level < LEAST_LEVEL:
+            continue
+        starts = np.flatnonzero(first)
+        for owner, part in zip(owners.tolist(), np.split((names >> np.uint64(32)).astype(np.uint32), starts[1:])):
+            found[owner].append(part)
+        # Texts that are done are left out; the others do not depend on them.
+        longer = np.diff(np.append(starts, len(names))) > 2
+        stay = np.repeat(longer, np.diff(np.append(starts, len(names))))
+        owners, names, first = owners[longer], names[stay], first[stay]
+    return [np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint32) for parts in found]
+
+
 def sketches(symbols: list[np.ndarray]) -> list[np.ndarray]:
-    """For every text, given as code points, the SKETCH least of its phrase names, 32 bits each, in order."""
-    filled = [s for s in symbols if len(s)]
-    out = iter(())
-    if filled:
-        names = np.concatenate(filled).astype(np.uint64)
-        first = np.zeros(len(names), bool)
-        first[np.cumsum([0, *(len(s) for s in filled[:-1])])] = True
-        for _ in range(LEVELS):
-            names, first = parse(names, first)
-        out = (np.unique(part)[:SKETCH] for part in np.split((names >> np.uint64(32)).astype(np.uint32), np.flatnonzero(first)[1:]))
-    return [next(out) if len(s) else np.zeros(0, np.uint32) for s in symbols]
+    """For every text the least of its phrase names, in order: SKETCH, and one of SHARE beyond."""
+    return [names[: SKETCH + max(0, len(names) - SKETCH) // SHARE] for names in phrase_names(symbols)]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two phrase sets, from their sketches; 1 for two empty texts."""
-    both = np.union1d(a, b)[:SKETCH]
-    return float(np.isin(both, a).astype(int) @ np.isin(both, b)) / len(both) if len(both) else 1.0
+    """Jaccard similarity of two phrase sets, from their sketches; 1 for two empty texts.
+
+    A sketch of SKETCH names or more may lack those beyond its last one, so only names up to there are compared.
+    """
+    for x in (a, b):
+        if len(x) >= SKETCH:
+            a, b = a[a <= x[-1]], b[b <= x[-1]]
+    together = len(np.intersect1d(a, b, assume_unique=True))
+    return together / (len(a) + len(b) - together) if len(a) or len(b) else 1.0
 
 
 def _points(text: bytes) -> np.ndarray:
@@ -142,7 +169,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """Every document's fingerprint and that of its edited text, with the columns of SCHEMA.
 
     Documents follow each other by descending doc_id, rows of one id by text, rows without an id last; after the
-    last comes the first. A fingerprint is a sketch of the text's phrase names in hex, `likeness` compares two.
+    last comes the first. A fingerprint is a sketch of the names of the text's phrases on all levels, in hex, and grows
+    with the text; `likeness` compares two. Measured against the whole sets at a likeness of one half, its standard
+    deviation is 0.04 for texts of 1,000 characters, 0.024 for 17,000 and 0.011 for 115,000.
     Null and empty texts have an empty fingerprint, which is like another empty one only. Repeated rows each give
     a row. An empty table gives an empty result; a single row follows itself. Other columns are not read.
 
