@@ -75,6 +75,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._model = self._tokenizer.model
+        self.size = self._tokenizer.get_vocab_size(with_added_tokens=True)
         self._folds = self._tokenizer.normalizer is not None
         marks = self._ids([self._mark])[0] if self._mark else ()
         self._mark_id = int(marks[0]) if len(marks) == 1 else None
