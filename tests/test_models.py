@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from paywatch.operators import evaluate, models, sampling
@@ -64,3 +65,15 @@ def test_features_can_be_excluded(table):
                                exclude=["user_id", "merchant_id"], trees=3, rounds=2)
     assert len(fitted.features) == 14
     assert fitted.score(table).count() == table.count()
+
+
+def test_models_score_in_a_session_that_observes(spark, table, tmp_path):
+    """Observed metrics leave something in the session that cannot be shipped; models must not carry the session."""
+    seen = Observation()
+    table.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(str(tmp_path / "t"))
+    assert seen.get["rows"] == table.count()
+    split = sampling.split_by_hash(table)
+    fitted = models.fit_models(split.filter("split = 'train'"), split.filter("split = 'val'"), trees=3, rounds=2)
+    assert not fitted.forest.hasSummary and fitted.forest.getNumTrees == 3
+    assert fitted.score(table).count() == table.count()
+    assert fitted.score(table).filter("fraud_score is null").count() == 0
