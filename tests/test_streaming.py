@@ -269,3 +269,16 @@ def test_state_is_removed_after_its_time_to_live(spark, txns, tmp_path):
     assert got["none"][201].prior_avg == 40.0 and got["short"][200].is_new_device == 0
     with pytest.raises(ValueError):
         stateful.UserFeatures(3600, ttl_seconds=60)
+
+
+def test_groups_of_users_hold_few_state_rows(spark, txns, tmp_path):
+    """Users who share a group are worked off apart; state rows follow the groups, not the minutes or the users."""
+    rows = [(None if i == 50 else i, i % 7, i * 5 + i % 3, None if i % 11 == 0 else 1.0 + i, [None, "", "a", "b"][i % 4], "xyz"[i % 3])
+            for i in range(300)]
+    parts = [txns(rows[:170]), txns(rows[170:]), txns([FLUSH])]
+    ends = stream_of(spark, tmp_path, parts, lambda raw: stateful.stream_features(raw, "4 hours", 3600, None, groups=2), str(tmp_path / "out"))
+    assert all(sum(o["numRowsTotal"] for o in p["stateOperators"]) <= 2 * 6 for p in ends)
+    shown = ["user_id", "transaction_id", "prior_avg", "is_new_device", "time_since_last_txn", "velocity"]
+    batch = features.user_features(txns(rows), 3600).select(shown)
+    got = spark.read.parquet(str(tmp_path / "out")).select(shown)
+    assert got.count() == 300 and got.exceptAll(batch).count() == batch.exceptAll(got).count() == 0
