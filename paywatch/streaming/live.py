@@ -10,6 +10,8 @@ import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,14 +45,35 @@ def newest_entries(rows: pd.DataFrame, n: int, k: int) -> pd.DataFrame:
 
 
 def reduced(n: int, k: int):
-    """One row of totals and the candidate entries of every Arrow batch."""
+    """One row of totals and the candidate entries of a task.
 
-    def reduce(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                entries = newest_entries(frame, n, k).assign(**dict.fromkeys(TOTALS, 0))
-                counts = frame.head(1).assign(is_entry=0, **{c: int(frame[c].sum()) for c in TOTALS})
-                yield pd.concat([counts, entries], ignore_index=True)
+    Between Arrow batches a task keeps its candidates, n * k rows; only rows of a batch as new as the oldest of n
+    candidate batches are looked at, and become Python objects.
+    """
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, kept, since = dict.fromkeys(TOTALS, 0), None, None
+        schema = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            schema = batch.schema
+            for c in TOTALS:
+                sums[c] += pc.sum(batch.column(c)).as_py()
+            wanted = pc.equal(batch.column("is_entry"), 1)
+            if since is not None:
+                wanted = pc.and_(wanted, pc.greater_equal(batch.column("batch_id"), since))
+            fresh = batch.filter(wanted)
+            if fresh.num_rows:
+                fresh = fresh.to_pandas()
+                kept = newest_entries(fresh if kept is None else pd.concat([kept, fresh], ignore_index=True), n, k)
+                newest = kept["batch_id"].drop_duplicates()
+                since = int(newest.min()) if len(newest) == n else None
+        if schema is not None:
+            counts = pd.DataFrame([{**dict.fromkeys(schema.names), "view": 0, **sums, "is_entry": 0, "batch_id": 0, "transaction_id": 0}])
+            yield pa.RecordBatch.from_pandas(counts[schema.names], schema, preserve_index=False)
+            if kept is not None:
+                yield pa.RecordBatch.from_pandas(kept.assign(**dict.fromkeys(TOTALS, 0))[schema.names], schema, preserve_index=False)
 
     return reduce
 
@@ -99,7 +122,7 @@ def live_view(scored: DataFrame, n: int = ALERT_LIST_ROWS, k: int = BATCH_ALERTS
         *(F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in ("batch_id", "transaction_id")),
         F.col("amount").cast("double").alias("amount"), F.col("fraud_score").cast("double").alias("fraud_score"), "location",
     )
-    parts = counted.mapInPandas(reduced(n, k), PARTIAL)
+    parts = counted.mapInArrow(reduced(n, k), PARTIAL)
     return parts.groupBy("view").transformWithStateInPandas(
         statefulProcessor=LiveView(n, k), outputStructType=OUTPUT, outputMode="Update", timeMode="None"
     )

@@ -148,3 +148,16 @@ def test_a_batch_that_failed_before_its_record_is_done_again(spark, tmp_path):
     replay.replay_sink(out, records, 100)(rows, 9)
     assert replay.first_id(spark, records, 10, 100) == 120
     assert sorted(r.transaction_id for r in spark.read.parquet(out).collect()) == list(range(100, 120))
+
+
+def test_a_task_sends_few_rows_however_many_arrow_batches_it_reads():
+    import pyarrow as pa
+
+    rows = [(b, i, a) for i, (b, _, a, *_) in enumerate(scored_rows(3, 900, 40)) if b is not None]
+    columns = {"view": 0, **dict.fromkeys(live.TOTALS, 1), "is_entry": 1}
+    parts = [pa.Table.from_pylist([{**columns, "batch_id": b, "transaction_id": i, "amount": a, "fraud_score": 0.5, "location": "x"} for b, i, a in rows[n::30]])
+             for n in range(30)]
+    sent = pa.Table.from_batches(list(live.reduced(10, 2)(b for p in parts for b in p.to_batches()))).to_pandas()
+    assert len(sent) <= 1 + 10 * 2
+    assert sent[live.TOTALS].sum().tolist() == [len(rows)] * len(live.TOTALS)
+    assert sent[sent["is_entry"] == 1]["transaction_id"].tolist()[:10] == list_of(rows)
