@@ -12,12 +12,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paywatch.llm.common import stage, texts, utf8
-from paywatch.llm.encoding import encoder
+from paywatch.llm.encoding import GROUP_BYTES, encoder
 from paywatch.llm.repeats import _mix
 
 WINDOW = 1024
@@ -159,31 +160,35 @@ def lexical_keys(encoded: list[bytes], run: int) -> np.ndarray:
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     small = encoder(path).size <= 1 << 16
     for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            part = batch.slice(at, 64)
+        group = np.cumsum(pc.binary_length(batch.column("text")).to_numpy()) // GROUP_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(cuts, cuts[1:]):
+            if begin == end:
+                continue
+            part = batch.slice(begin, end - begin)
             ids = [x + END for x in encoder(path).encode(utf8(part.column("text")))]
             kept = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids] if small else ids
             sizes = pa.array([len(x) // 4 for x in ids], pa.int64())
-            keys = [lexical_keys(ids, run) for run in RUNS]
+            keys = [np.concatenate([lexical_keys(ids[at : at + 64], run) for at in range(0, len(ids), 64)]) for run in RUNS]
             yield pa.record_batch([part.column("doc_id"), pa.array(kept, pa.binary()), sizes, *keys], names=["doc_id", "ids", "n", "key", "key2"])
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch], width: str) -> Iterator[pa.RecordBatch]:
-    """In how many of a task's documents each id occurs."""
-    counts = np.zeros(0, np.int64)
+def _frequencies(batches: Iterator[pa.RecordBatch], width: str, vocabulary: int) -> Iterator[pa.RecordBatch]:
+    """In how many of a task's documents each id occurs: an id counts where it stands last in a document."""
+    counts, last = np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
     for batch in batches:
-        for ids in batch.column("ids").to_pylist():
-            held = np.unique(np.frombuffer(ids, width))
-            if int(held[-1]) >= len(counts):
-                counts = np.concatenate([counts, np.zeros(int(held[-1]) + 1 - len(counts), np.int64)])
-            counts[held] += 1
+        for held in batch.column("ids").to_pylist():
+            ids = np.frombuffer(held, width)
+            place = np.arange(len(ids))
+            last[ids] = place
+            counts[ids[last[ids] == place]] += 1
     used = np.flatnonzero(counts)
     yield pa.record_batch([used, counts[used]], names=["id", "df"])
 
 
 def statistics(encoded: DataFrame, vocabulary: int, width: str) -> Statistics:
     """Document frequencies over all documents; a vocabulary's worth of them reaches the driver."""
-    parts = encoded.select("ids").mapInArrow(partial(_frequencies, width=width), "id long, df long")
+    parts = encoded.select("ids").mapInArrow(partial(_frequencies, width=width, vocabulary=vocabulary), "id long, df long")
     rows = parts.groupBy("id").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(vocabulary, np.int64)
     df[rows.column("id").to_numpy()] = rows.column("df").to_numpy()

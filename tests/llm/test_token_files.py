@@ -1,4 +1,5 @@
 import zlib
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -25,6 +26,10 @@ def plain(name):
     return lambda t: tokenizer.encode(t, add_special_tokens=False).ids
 
 
+loaded = cache(plain)
+LETTERS = str.maketrans("0123456789", "abcdefghij")
+
+
 @pytest.mark.parametrize("name", FILES)
 def test_remembered_words_give_the_tokenizers_ids(name, monkeypatch):
     monkeypatch.setattr(encoding, "MEMO_WORDS", 20)
@@ -42,6 +47,25 @@ def test_any_text_gives_the_tokenizers_ids(t, name):
     assert np.frombuffer(got, "<u4").tolist() == plain(name)(t)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aZ7é—'rst.,!%|<>_ \n", max_size=30), max_size=4), st.sampled_from(FILES))
+def test_marks_behind_words_give_the_tokenizers_ids(texts, name):
+    got = encoding.encoder(public_tokenizers.path(name)).encode([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [loaded(name)(t) for t in texts]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_a_word_is_encoded_once_whatever_marks_stand_behind(name, monkeypatch):
+    """The library's slow way for whole texts only sees the marks, a few letters, not every word with marks behind."""
+    own, want, seen = encoding.Encoder(public_tokenizers.path(name)), plain(name), []
+    library = own._ids
+    monkeypatch.setattr(own, "_ids", lambda strings: seen.extend(strings) or library(strings))
+    texts = [" ".join(f"{w}%%% {w}é,*** {w}.### {w}" for w in words(i, 30, 4000)).translate(LETTERS) for i in range(20)]
+    for t, got in zip(texts, own.encode([t.encode() for t in texts])):
+        assert np.frombuffer(got, "<u4").tolist() == want(t)
+    assert sum(map(len, seen)) < 100
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=1500), st.randoms())
 def test_image_gives_any_token_and_span(ids, rnd):
