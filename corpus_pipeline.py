@@ -6,17 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from paywatch.llm import decontaminate, packing, quality, secret_scan, simhash
-from paywatch.llm.common import read_documents, stage
+from paywatch.llm.common import read_documents, small_batches, stage
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier rejects go; it is fitted on the labelled ones of the stage's input."""
+    small_batches(spark)
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays, the one with the smallest id; a row without an id stays."""
+    small_batches(spark)
     return simhash.one_of_each(docs)
 
 
@@ -32,6 +34,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of all documents in sequences of 1024, neighbours together."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -13,6 +13,8 @@ from paywatch.session import storage_dir
 
 # Rows of a few longs: about 64 MB.
 BROADCAST_ROWS = 1_000_000
+# An Arrow batch of texts; the executor and its Python worker each hold some of them for every task.
+BATCH_BYTES = 1 << 22
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -50,6 +52,19 @@ def sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches on their way to Python and back end at BATCH_BYTES, however long the texts are, not at a number of rows alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def handed_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; what Arrow has kept of earlier ones goes back to the system, since workers outlive their tasks."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """A string column's values as bytes."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

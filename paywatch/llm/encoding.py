@@ -16,7 +16,7 @@ import pyarrow as pa
 MEMO_WORDS = 300_000
 # Unknown pieces are encoded this many at a time, as one text with separators whose id shows where each piece ends.
 JOINED = 512
-GROUP_BYTES = 1 << 22
+GROUP_BYTES = 1 << 21
 GAP = re.compile(r"(?<=\S)(?= \S)")
 # White space other than lone blanks and line ends, as UTF-8, the wide ones by their first byte (U+2000 to U+203F by their common bytes).
 LINE_GAPS = (b"  ", b" \n", b"\n ", b"\n\n")
@@ -193,14 +193,14 @@ class Encoder:
         self._fill([pieces[i] for i in gaps])
         for i in gaps:
             ids[i] = self._now[pieces[i]]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        shift = np.cumsum(size) - size
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        shift = np.cumsum(size, dtype=np.int32) - size
         size, shift = size[numbers], shift[numbers]
-        stop = np.cumsum(size)
+        stop = np.cumsum(size, dtype=np.int32)
         place = np.repeat(shift - stop + size, size)
-        place += np.arange(len(place))
+        place += np.arange(len(place), dtype=np.int32)
         data = np.frombuffer(b"".join(ids), "<u4")[place].tobytes()
-        cuts = (4 * np.concatenate([[0], stop])[last]).tolist()
+        cuts = (4 * np.concatenate([[0], stop])[last].astype(np.int64)).tolist()
         return [data[a:b] for a, b in zip([0, *cuts], cuts)]
 
     def _encode_pieces(self, pieces: list[list[bytes]]) -> list[bytes]:

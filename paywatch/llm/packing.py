@@ -17,7 +17,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paywatch.llm.common import stage, texts, utf8
+from paywatch.llm.common import handed_back, stage, texts, utf8
 from paywatch.llm.encoding import GROUP_BYTES, encoder
 from paywatch.llm.repeats import _mix
 
@@ -159,7 +159,7 @@ def lexical_keys(encoded: list[bytes], run: int) -> np.ndarray:
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     small = encoder(path).size <= 1 << 16
-    for batch in batches:
+    for batch in handed_back(batches):
         group = np.cumsum(pc.binary_length(batch.column("text")).to_numpy()) // GROUP_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for begin, end in zip(cuts, cuts[1:]):
@@ -197,11 +197,12 @@ def statistics(encoded: DataFrame, vocabulary: int, width: str) -> Statistics:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], known: Broadcast, width: str, window: int, shard_docs: int) -> Iterator[pa.RecordBatch]:
+    encoder.cache_clear()  # all is encoded: what the worker remembers of it would only stand beside the index
     packer = Packer(TaskContext.get().partitionId() << 40, window)
     ids: list = []
     encoded: list[bytes] = []
     tokens = 0
-    for batch in batches:
+    for batch in handed_back(batches):
         for doc_id, held in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
             ids.append(doc_id)
             encoded.append(np.frombuffer(held, width).astype("<u4").tobytes())

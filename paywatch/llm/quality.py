@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paywatch.llm.common import texts, training_bucket, utf8
+from paywatch.llm.common import handed_back, texts, training_bucket, utf8
 
 # Labelled rows the trees are fitted on: the ones with the least id hash, a uniform sample that bounds the driver.
 TRAIN_ROWS = 50_000
@@ -150,7 +150,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bi
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in handed_back(batches):
         rows = pa.array(list(matrix(batch.column("text"))), pa.list_(pa.float64()))
         yield pa.record_batch([batch.column("label"), rows], names=["label", "x"])
 
@@ -173,7 +173,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, **sh
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Trees) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in handed_back(batches):
         yield pa.record_batch([batch.column("doc_id"), pa.array(model.score(matrix(batch.column("text"))))], names=["doc_id", "score"])
 
 
@@ -187,7 +187,7 @@ def scores(docs: DataFrame, model: Trees) -> DataFrame:
 
 
 def _kept(batches: Iterator[pa.RecordBatch], model: Trees, least: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in handed_back(batches):
         text = batch.column(batch.schema.get_field_index("text")).cast(pa.string())
         yield batch.filter(pa.array(model.score(matrix(text)) >= least))
 

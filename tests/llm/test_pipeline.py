@@ -1,6 +1,7 @@
 """Every stage against brute force on its own input, and the whole on the smallest tables."""
 
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -134,3 +135,36 @@ def test_a_blob_recorded_twice_counts_once(spark, docs):
     held.write.mode("append").parquet(ledger.path)
     assert {r.doc_id: r.spans for r in secret_scan.find_secrets(table, ledger).collect()} == want
     assert {r.doc_id: r.text for r in secret_scan.redact(table, ledger).collect()} == {1: "x [assign] y [assign] z", 2: "😀😀 [assign]"}
+
+
+def test_batches_of_long_texts_are_small(spark, docs):
+    """A stage's texts reach Python in batches bounded in bytes, not only in rows."""
+    from paywatch.llm.common import BATCH_BYTES
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        table = spark.range(0, 2000, 1, 1).selectExpr("id as doc_id", "repeat('long text ', 2000) as text", "'en' as lang", "'s' as source", "20000L as n_chars")
+        corpus_pipeline.good_quality(spark, table, SMALL)
+        sizes = table.mapInArrow(lambda bs: (b.slice(0, 1).select(["doc_id"]).set_column(0, "n", [b.nbytes]) for b in bs), "n long").collect()
+        assert len(sizes) > 1 and max(r.n for r in sizes) <= 2 * BATCH_BYTES and spark.conf.get(name) == str(BATCH_BYTES)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_packing_forgets_the_words(monkeypatch):
+    """Once all is encoded, a worker that packs does not hold the words it remembers."""
+    import pyarrow as pa
+
+    from paywatch.llm import encoding, packing
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.record_batch([pa.array([1, 2]), pa.array([text(i, 50).encode() for i in (1, 2)])], names=["doc_id", "text"])
+    encoded = list(packing._encoded(iter([batch]), path))
+    assert encoding.encoder.cache_info().currsize
+    known = SimpleNamespace(value=packing.Statistics(np.ones(1 << 16, np.int64), 2, 50.0))
+    rows = list(packing._pack(iter(encoded), known, "<u2", packing.WINDOW, packing.SHARD_DOCS))
+    assert sum(sum(b.column("length").to_pylist()) for b in rows) == sum(sum(b.column("n").to_pylist()) for b in encoded)
+    assert not encoding.encoder.cache_info().currsize
