@@ -197,7 +197,6 @@ def statistics(encoded: DataFrame, vocabulary: int, width: str) -> Statistics:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], known: Broadcast, width: str, window: int, shard_docs: int) -> Iterator[pa.RecordBatch]:
-    encoder.cache_clear()  # all is encoded: what the worker remembers of it would only stand beside the index
     packer = Packer(TaskContext.get().partitionId() << 40, window)
     ids: list = []
     encoded: list[bytes] = []

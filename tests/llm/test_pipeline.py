@@ -153,18 +153,16 @@ def test_batches_of_long_texts_are_small(spark, docs):
         spark.conf.set(name, before)
 
 
-def test_packing_forgets_the_words(monkeypatch):
-    """Once all is encoded, a worker that packs does not hold the words it remembers."""
+def test_arrow_hands_back_what_earlier_batches_held():
+    """While a batch is worked on, the pool has been asked to give up what earlier ones left."""
     import pyarrow as pa
 
-    from paywatch.llm import encoding, packing
-
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
-    batch = pa.record_batch([pa.array([1, 2]), pa.array([text(i, 50).encode() for i in (1, 2)])], names=["doc_id", "text"])
-    encoded = list(packing._encoded(iter([batch]), path))
-    assert encoding.encoder.cache_info().currsize
-    known = SimpleNamespace(value=packing.Statistics(np.ones(1 << 16, np.int64), 2, 50.0))
-    rows = list(packing._pack(iter(encoded), known, "<u2", packing.WINDOW, packing.SHARD_DOCS))
-    assert sum(sum(b.column("length").to_pylist()) for b in rows) == sum(sum(b.column("n").to_pylist()) for b in encoded)
-    assert not encoding.encoder.cache_info().currsize
+    from paywatch.llm import common
+
+    asked = []
+    pool = pa.default_memory_pool()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(common.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: (asked.append(1), pool.release_unused())))
+        batches = [pa.record_batch([pa.array([i])], names=["n"]) for i in range(3)]
+        seen = [(b.column("n")[0].as_py(), len(asked)) for b in common.handed_back(iter(batches))]
+    assert seen == [(0, 0), (1, 1), (2, 2)] and len(asked) == 3
